@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.functions import failure_prob, interpret, round_half_up
 from plantpulse.operators.quantiles import exact_quantiles, profile
+from plantpulse.session import cut
 
 EULER = 0.5772156649015329
 MIN_SAMPLES = 10
@@ -35,8 +36,8 @@ def _grow(sample: np.ndarray, seed: int) -> list[tuple[float, float, float]]:
             leaves.append((lo, hi, depth + float(_average_path(len(points)))))
             continue
         at = rng.uniform(points[0], points[-1])
-        cut = np.searchsorted(points, at, side="right")
-        todo += [(points[:cut], lo, at, depth + 1), (points[cut:], at, hi, depth + 1)]
+        left = np.searchsorted(points, at, side="right")
+        todo += [(points[:left], lo, at, depth + 1), (points[left:], at, hi, depth + 1)]
     return leaves
 
 
@@ -49,9 +50,9 @@ class IsolationForestJob:
         self.n_trees, self.sample, self.contamination, self.seed = n_trees, sample, contamination, seed
 
     def fit(self, df: DataFrame, value: str = "avg_temp_c", key: tuple[str, ...] = ("device_id", "window_start")) -> ForestModel:
-        rows = df.where(F.col(value).isNotNull()).select(
-            F.col(value).cast("double").alias("v"), F.xxhash64(*key, F.lit(self.seed)).alias("h"))
-        described = profile(df, value).first()
+        rows = cut(df.where(F.col(value).isNotNull()).select(
+            F.col(value).cast("double").alias("v"), F.xxhash64(*key, F.lit(self.seed)).alias("h")), "forest-rows")
+        described = profile(rows, "v").first()
         if described["samples"] < MIN_SAMPLES:
             raise ValueError(f"at least {MIN_SAMPLES} samples are needed, got {described['samples']}")
         # one uniform draw that is large enough for all trees, then 256 of it per tree
@@ -77,7 +78,7 @@ class IsolationForestJob:
         # at most 2 * 256 leaves for each of the trees, whatever the input size
         table = spark.createDataFrame(leaves.toPandas(), TREES)
         model = ForestModel(table, described.asDict(), per_tree, self.contamination, None)
-        scores = model._scored(df.where(F.col(value).isNotNull()), value)
+        scores = model._scored(rows, "v")
         model.offset = exact_quantiles(scores, [], "score", {"q": self.contamination}).first()["q"]
         return model
 

@@ -19,11 +19,9 @@ def ingest(messages: DataFrame, source_topic: str, qos: int = 1, clock: Column |
     """
     clock = F.unix_millis(F.current_timestamp()) if clock is None else clock
     text = F.col(value).cast("string")
-    parsed = (
-        messages.withColumn("_text", text)
-        .withColumn("_utf8", F.is_valid_utf8("_text"))
-        .withColumn("_doc", F.when(F.col("_utf8"), F.try_parse_json("_text")))
-    )
+    doc = F.when(F.is_valid_utf8(text), F.try_parse_json(text))
+    # as a one-element explode: a filter on the reason can then not copy the parse into itself
+    parsed = messages.withColumn("_utf8", F.is_valid_utf8(text)).select("*", F.explode(F.array(doc)).alias("_doc"))
 
     def kind(field: str) -> Column:
         return F.expr(f"schema_of_variant(try_variant_get(_doc, '$.{field}', 'variant'))")

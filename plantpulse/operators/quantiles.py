@@ -84,8 +84,8 @@ def box_outliers(df: DataFrame, value: str, by: str) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, nbins: int, by: str) -> DataFrame:
     """Equal-width counts per group; the bins span the whole table's range."""
-    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    ends = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     number = F.least(F.floor((F.col(value) - lo) * nbins / F.nullif(hi - lo, F.lit(0.0))), F.lit(nbins - 1))
     return (
         df.where(F.col(value).isNotNull()).withColumn("bin", F.coalesce(number, F.lit(0)).cast("int"))
@@ -98,7 +98,8 @@ def profile(df: DataFrame, value: str = "avg_temp_c") -> DataFrame:
     moments = df.agg(F.count(value).alias("samples"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
                      F.min(value).alias("min"), F.max(value).alias("max"))
     ends = exact_quantiles(df, [], value, {"p5": 0.05, "p95": 0.95})
-    return moments.withColumns({"p5": ends.select("p5").scalar(), "p95": ends.select("p95").scalar()})
+    return moments.withColumn("_q", ends.select(F.struct("p5", "p95")).scalar()).select(
+        "samples", "mean", "std", "min", "max", "_q.p5", "_q.p95")
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:

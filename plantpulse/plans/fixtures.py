@@ -66,7 +66,9 @@ class Tables:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return self._sql(_RAW)
+        # the derived row comes out of a generator, so it is computed once and later filters
+        # see plain columns, as they would on a stored topic
+        return self._sql(_RAW).select(F.inline(F.array(F.struct("*"))))
 
     @cached_property
     def messages(self) -> DataFrame:

@@ -308,8 +308,8 @@ def _(t):
 
 
 @query("top4_device_top5", f"""
-SELECT event_id, ts, {r6('temperature_c')} AS temperature_c FROM sensors_clean WHERE device_id = 'machine-001' AND temperature_c > 80
-ORDER BY temperature_c DESC, event_id DESC LIMIT 5""")
+SELECT event_id, ts, {r6('c.temperature_c')} AS temperature_c FROM sensors_clean c WHERE device_id = 'machine-001'
+AND c.temperature_c > 80 ORDER BY c.temperature_c DESC, event_id DESC LIMIT 5""")
 def _(t):
     hot = t.clean.where("device_id = 'machine-001' AND temperature_c > 80")
     return fleet.latest_n(hot, 5, "temperature_c").select("event_id", "ts", "temperature_c")

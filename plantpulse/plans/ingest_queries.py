@@ -17,14 +17,15 @@ INGEST_REASON = f"""CASE WHEN device_id IS NULL OR trim(device_id) = '' THEN '{C
   WHEN temperature IS NULL THEN 'campo ''temperature'' ausente'
   WHEN unit IS NULL OR upper(unit) NOT IN ('C', 'F', 'K')
     THEN concat('{C.REASON_UNIT}', CASE WHEN unit IS NULL THEN '''''' ELSE {_SHOWN} END, '{C.INGEST_UNIT_SUFFIX}')
-  WHEN ts IS NULL OR ts = '' THEN '{C.INGEST_NO_TS}' END"""
+  WHEN ts IS NULL OR ts = '' THEN 'campo ''ts'' ausente' END"""
 
 
 def _ingested(t):
     return ingest.ingest(t.messages, "sensors/telemetry", 1, F.lit(CLOCK_MS))
 
 
-@query("src1_raw_topic_parse", """SELECT event_id AS "offset", device_id, temperature, unit, ts, _ingested_at FROM sensors_raw""")
+@query("src1_raw_topic_parse", f"""
+SELECT event_id AS "offset", device_id, {r6('temperature')} AS temperature, unit, ts, _ingested_at FROM sensors_raw""")
 def _(t):
     records = t.raw.select(F.col("event_id").alias("offset"),
                            F.to_json(F.struct("device_id", "temperature", "unit", "ts", "_ingested_at")).alias("value"))
@@ -32,11 +33,10 @@ def _(t):
 
 
 @query("src2_clean_topic_event_time",
-       "SELECT device_id, temperature_c, unit_original, ts, _ingested_at, event_time FROM sensors_clean")
+       f"SELECT device_id, {r6('temperature_c')} AS temperature_c, unit_original, ts, _ingested_at, event_time FROM sensors_clean")
 def _(t):
     records = t.clean.drop("event_id", "event_time").select(F.to_json(F.struct("*")).alias("value"))
-    return topics.with_event_time(topics.clean_topic(records)).drop("_corrupt").withColumn(
-        "temperature_c", F.round("temperature_c", 6))
+    return topics.with_event_time(topics.clean_topic(records)).drop("_corrupt")
 
 
 @query("src7_topic_sample", """
@@ -136,7 +136,7 @@ def _(t):
     return routing.split(t.routed)[0].select("event_id", "device_id", "temperature_c", "unit_original")
 
 
-@query("val10_rejected_rows", "SELECT event_id, device_id, temperature, unit, ts FROM sensors_invalid")
+@query("val10_rejected_rows", f"SELECT event_id, device_id, {r6('temperature')} AS temperature, unit, ts FROM sensors_invalid")
 def _(t):
     return routing.split(t.routed)[1].select("event_id", "device_id", "temperature", "unit", "ts")
 

@@ -81,4 +81,4 @@ def _(t):
     tagged = verifier.verify_stream(records, "CAST(get_json_object(value, '$._ingested_at') AS BIGINT)")
     out = t.folder("tagged")
     pipelines.tagged_stream(tagged, out, t.folder("ck")).awaitTermination()
-    return t.spark.read.schema("key STRING, seq BIGINT, tag STRING").json(out)
+    return t.spark.read.schema("key STRING, seq BIGINT, tag STRING").json(out).drop("batch")
