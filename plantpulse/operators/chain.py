@@ -6,16 +6,15 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.constants import GENESIS_HASH
-from plantpulse.functions import clip, message_hash, round_half_up, time_bucket
+from plantpulse.functions import clip, message_hash, round_half_up
 from plantpulse.operators import chunks, folds
+from plantpulse.operators.chunks import SLICE
 from plantpulse.session import cut
 
-HOUR = 3600
-
 
 def sign_chain(df: DataFrame, content: str = "content", key: str = "device_id", order: tuple[str, ...] = ("event_id",),
                initial: str = GENESIS_HASH) -> DataFrame:
@@ -43,30 +42,30 @@ def sign_chain(df: DataFrame, content: str = "content", key: str = "device_id",
 
 
 def linkage(df: DataFrame, key: str = "device_id", ts: str = "event_time", seq: str = "event_id",
-            initial: str = GENESIS_HASH) -> DataFrame:
+            initial: str = GENESIS_HASH, max_rows: int = chunks.MAX_ROWS) -> DataFrame:
     """Whether each declared prev_hash equals the hash declared one row earlier."""
-    extended = chunks.with_halo(df, key, [ts, seq], ts, 1, HOUR)
+    extended = chunks.with_halo(chunks.bounded_slices(df, key, ts, seq, max_rows=max_rows), key, [ts, seq], 1)
     previous = F.coalesce(F.lag("hash").over(chunks.slice_window(key, [ts, seq])), F.lit(initial))
     return chunks.without_halo(extended.withColumn("linked", F.col("prev_hash") == previous))
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Contract each slice's messages to runs in which every message follows the one before."""
-    columns = ["device_id", "_slice", "head_prev", "head_ts", "head_seq", "tail_hash", "tail_ts", "tail_seq"]
+    columns = ["device_id", *SLICE, "head_prev", "head_ts", "head_seq", "tail_hash", "tail_ts", "tail_seq"]
     group, runs, open_tails = None, [], {}
     for batch in batches:
         done = []
-        for device, part, prev, digest, ts, seq in zip(
-            *[batch[c].tolist() for c in ("device_id", "_slice", "_prev", "_declared", "_ts", "_seq")]
+        for *at, prev, digest, ts, seq in zip(
+            *[batch[c].tolist() for c in ("device_id", *SLICE, "_prev", "_declared", "_ts", "_seq")]
         ):
-            if (device, part) != group:
+            if at != group:
                 done += runs
-                group, runs, open_tails = (device, part), [], {}
+                group, runs, open_tails = at, [], {}
             run = open_tails.pop(prev, None)
             if run is None:
-                run = [device, part, prev, ts, seq, digest, ts, seq]
+                run = [*at, prev, ts, seq, digest, ts, seq]
                 runs.append(run)
-            run[5:] = [digest, ts, seq]
+            run[-3:] = [digest, ts, seq]
             open_tails[digest] = run
         yield pd.DataFrame(done, columns=columns)
     yield pd.DataFrame(runs, columns=columns)
@@ -98,29 +97,31 @@ def _verify_step(state, own_ok, prev, declared):
 
 
 def verify_chain(df: DataFrame, initial: str = GENESIS_HASH, missing_prev: str = "", canonical: str = "content",
-                 ts: str = "event_time", seq: str = "event_id", slice_seconds: int = HOUR) -> DataFrame:
+                 ts: str = "event_time", seq: str = "event_id", slice_seconds: int = chunks.HOUR,
+                 max_rows: int = chunks.MAX_ROWS) -> DataFrame:
     """Sequential chain verification of every device, one result row per message.
 
     Three passes, each over (device, slice) groups: self-consistent messages
     are contracted to runs, the chain is followed over the few runs, and all
-    messages are replayed from the hash valid at the start of their slice.
+    messages are replayed from the hash valid at the start of their slice. No
+    slice holds more than ``max_rows`` messages.
     """
     prev = F.coalesce(F.col("prev_hash"), F.lit(missing_prev))
     declared = F.coalesce(F.col("hash"), F.lit(""))
     rows = df.select(
-        "device_id", F.unix_micros(F.col(ts).cast("timestamp")).alias("_ts"), F.col(seq).cast("bigint").alias("_seq"),
-        time_bucket(ts, slice_seconds).alias("_slice"), prev.alias("_prev"), declared.alias("_declared"),
+        "device_id", F.col(ts).cast("timestamp").alias("_at"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_ts"),
+        F.col(seq).cast("bigint").alias("_seq"), prev.alias("_prev"), declared.alias("_declared"),
         message_hash(canonical, prev).alias("_computed"),
     ).withColumn("_own_ok", F.coalesce(F.col("_declared") == F.col("_computed"), F.lit(False)))
-    # read by three jobs below; the written rows also survive lost executors
-    rows = cut(rows, "chain-rows")
+    # read by the jobs below; the written rows also survive lost executors
+    rows = chunks.bounded_slices(cut(rows, "chain-rows"), "device_id", "_at", "_seq", slice_seconds, max_rows).drop("_at")
 
     # copies of a message can not advance the chain again: the first one stands for all
-    first = F.min(F.struct("_ts", "_seq", "_slice", "_prev")).alias("f")
+    first = F.min(F.struct("_ts", "_seq", *SLICE, "_prev")).alias("f")
     distinct = rows.where("_own_ok").groupBy("device_id", "_declared").agg(first).select("device_id", "_declared", "f.*")
-    run_schema = ("device_id STRING, _slice BIGINT, head_prev STRING, head_ts BIGINT, head_seq BIGINT, "
+    run_schema = ("device_id STRING, _slice BIGINT, _part BIGINT, head_prev STRING, head_ts BIGINT, head_seq BIGINT, "
                   "tail_hash STRING, tail_ts BIGINT, tail_seq BIGINT")
-    runs = folds.ordered(distinct, ["device_id", "_slice"], ["_ts", "_seq"], _runs, run_schema)
+    runs = folds.ordered(distinct, ["device_id", *SLICE], ["_ts", "_seq"], _runs, run_schema)
     runs = cut(runs, "chain-runs")
     # a run whose head follows no other run can never be entered
     heads = runs.select("device_id", F.col("tail_hash").alias("head_prev")).distinct()
@@ -128,20 +129,20 @@ def verify_chain(df: DataFrame, initial: str = GENESIS_HASH, missing_prev: str =
         runs.where(F.col("head_prev") != initial).join(heads, ["device_id", "head_prev"], "left_semi"))
     taken = folds.ordered(reachable.select(*runs.columns), ["device_id"], ["head_ts", "head_seq"], _walk(initial), run_schema)
 
-    per_slice = taken.groupBy("device_id", "_slice").agg(
+    per_slice = taken.groupBy("device_id", *SLICE).agg(
         F.max_by("tail_hash", F.struct("tail_ts", "tail_seq")).alias("_end"))
-    counts = rows.groupBy("device_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("device_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    entries = counts.join(per_slice, ["device_id", "_slice"], "left").select(
-        "device_id", "_slice",
+    counts = rows.groupBy("device_id", *SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    before = chunks.before("device_id")
+    entries = counts.join(per_slice, ["device_id", *SLICE], "left").select(
+        "device_id", *SLICE,
         F.coalesce(F.last("_end", ignorenulls=True).over(before), F.lit(initial)).alias("_state"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_idx_state"),
     )
     entries = cut(entries, "chain-entries")
     state = ["_state", "_idx_state"]
-    fold = folds.stepper(_verify_step, ["device_id", "_slice"], ["_own_ok", "_prev", "_declared"],
+    fold = folds.stepper(_verify_step, ["device_id", *SLICE], ["_own_ok", "_prev", "_declared"],
                          ["_ts", "_seq", "_prev", "_declared", "_computed"], ["ok", "_expected", "idx"], state)
-    schema = ("device_id STRING, _slice BIGINT, _ts BIGINT, _seq BIGINT, _prev STRING, _declared STRING, _computed STRING, "
+    schema = ("device_id STRING, _slice BIGINT, _part BIGINT, _ts BIGINT, _seq BIGINT, _prev STRING, _declared STRING, _computed STRING, "
               "ok BOOLEAN, _expected STRING, idx BIGINT, _state STRING, _idx_state BIGINT")
     checked = folds.sliced(rows, entries, "device_id", ["_ts", "_seq"], state, [initial, 0], fold, schema, "chain-checked")
     reason = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantpulse import constants as C
@@ -38,8 +38,9 @@ def in_alert(df: DataFrame) -> DataFrame:
 def latest(stats: DataFrame, minutes: int | None = None, anchor: Column | None = None) -> DataFrame:
     """Newest row per device. ``max_by`` keeps one row per device and task, without a sort."""
     rows = stats if minutes is None else metric_range(stats, minutes, anchor)
-    others = [c for c in rows.columns if c != "device_id"]
-    return rows.groupBy("device_id").agg(F.max_by(F.struct(*others), TS).alias("r")).select("device_id", "r.*")
+    # one max_by per column: fixed-width buffers keep this a hash aggregate
+    others = [F.max_by(c, TS).alias(c) for c in rows.columns if c != "device_id"]
+    return rows.groupBy("device_id").agg(*others)
 
 
 def latest_in_alert(stats: DataFrame, minutes: int = 60, anchor: Column | None = None,
@@ -137,8 +138,20 @@ def alerts_by_hour(stats: DataFrame) -> DataFrame:
 
 
 def latest_n(df: DataFrame, n: int = 5000, order: str = "ts", tie: str = "event_id") -> DataFrame:
-    """Newest ``n`` rows under a total order (top-k per task, then merged)."""
-    return df.orderBy(F.col(order).desc(), F.col(tie).desc()).limit(n)
+    """Newest ``n`` rows under a total order."""
+    return top_n(df, n, F.col(order).desc(), F.col(tie).desc())
+
+
+def top_n(df: DataFrame, n: int, *order: Column, groups: int = 64) -> DataFrame:
+    """First ``n`` rows of ``order``, merged in two steps.
+
+    Each task keeps its ``n`` best rows; a plain limit would send those of all
+    tasks to one task, here they meet in ``groups`` tasks first.
+    """
+    best = Window.partitionBy("_group").orderBy(*order)
+    spread = df.withColumn("_group", F.spark_partition_id() % groups)
+    kept = spread.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= n).drop("_rn", "_group")
+    return kept.orderBy(*order).limit(n)
 
 
 def compare_devices(stats: DataFrame, a: str, b: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plantpulse.operators.chunks import SLICE
 from plantpulse.session import cut
 
 
@@ -59,8 +60,8 @@ def sliced(rows: DataFrame, entries: DataFrame, key: str, order: list[str], stat
            fold: Callable, schema: str, label: str) -> DataFrame:
     """Fold all slices from their predicted ``entries`` and repair wrong predictions.
 
-    ``rows`` has ``_slice``; ``entries`` has key, ``_slice`` and the state
-    columns for every slice; the fold's output has key, ``_slice``, the order
+    ``rows`` has the slice columns; ``entries`` has key, slice and the state
+    columns for every slice; the fold's output has key, slice, the order
     columns and the state after each row.
     """
     def with_markers(data: DataFrame, starts: DataFrame) -> DataFrame:
@@ -70,20 +71,21 @@ def sliced(rows: DataFrame, entries: DataFrame, key: str, order: list[str], stat
         # a NULL would turn an integer column into floats on the way through pandas
         return both.na.fill(0, [f.name for f in both.schema.fields if f.dataType.typeName() == "long"])
 
-    folded = cut(ordered(with_markers(rows, entries), [key, "_slice"], ["_kind", *order], fold, schema), label)
-    exits = folded.groupBy(key, "_slice").agg(
+    folded = cut(ordered(with_markers(rows, entries), [key, *SLICE], ["_kind", *order], fold, schema), label)
+    exits = folded.groupBy(key, *SLICE).agg(
         F.max_by(F.struct(*state), F.struct(*order)).alias("_exit"))
-    previous = F.lag("_exit").over(Window.partitionBy(key).orderBy("_slice"))
+    previous = F.lag("_exit").over(Window.partitionBy(key).orderBy(*SLICE))
     start = F.struct(*[F.lit(v).alias(c) for c, v in zip(state, initial)])
-    needed = exits.select(key, "_slice", F.coalesce(previous, start).alias("_needed"))
+    needed = exits.select(key, *SLICE, F.coalesce(previous, start).alias("_needed"))
     wrong = (
-        entries.select(key, "_slice", F.struct(*state).alias("_used")).join(needed, [key, "_slice"])
+        entries.select(key, *SLICE, F.struct(*state).alias("_used")).join(needed, [key, *SLICE])
         .where(~F.col("_used").eqNullSafe(F.col("_needed"))).select(key).distinct()
     )
     if wrong.isEmpty():
         return folded
     wrong = cut(wrong, label + "-wrong")
-    whole = rows.join(wrong, key, "left_semi").withColumn("_slice", F.lit(0).cast("bigint"))
-    begin = wrong.select(key, F.lit(0).cast("bigint").alias("_slice"), *[F.lit(v).alias(c) for c, v in zip(state, initial)])
-    again = ordered(with_markers(whole, begin), [key, "_slice"], ["_kind", *order], fold, schema)
+    one = {c: F.lit(0).cast("bigint") for c in SLICE}
+    whole = rows.join(wrong, key, "left_semi").withColumns(one)
+    begin = wrong.withColumns({**one, **{c: F.lit(v) for c, v in zip(state, initial)}})
+    again = ordered(with_markers(whole, begin), [key, *SLICE], ["_kind", *order], fold, schema)
     return cut(folded.join(wrong, key, "left_anti").unionByName(again), label)

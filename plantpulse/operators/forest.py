@@ -55,11 +55,15 @@ class IsolationForestJob:
         described = profile(rows, "v").first()
         if described["samples"] < MIN_SAMPLES:
             raise ValueError(f"at least {MIN_SAMPLES} samples are needed, got {described['samples']}")
-        # one uniform draw that is large enough for all trees, then 256 of it per tree
-        pool = rows.orderBy("h", "v").limit(self.n_trees * self.sample)
+        # One uniform draw that is large enough for all trees, then 256 of it per tree. Only
+        # hashes low enough to be drawn are sorted: about four times the rows that are needed.
+        wanted = self.n_trees * self.sample
+        low = min(1.0, 4.0 * wanted / described["samples"])
+        pool = rows.where(F.pmod("h", F.lit(1 << 40)) <= int(low * (1 << 40))).orderBy(
+            F.pmod("h", F.lit(1 << 40)), "h", "v").limit(wanted)
         per_tree = min(self.sample, described["samples"])
         # each tree looks at about four times the rows it takes, so Python sees few of them
-        share = min(1.0, 4.0 * per_tree / min(described["samples"], self.n_trees * self.sample))
+        share = min(1.0, 4.0 * per_tree / min(described["samples"], wanted))
         trees = (
             pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.n_trees - 1))))
             .withColumn("g", F.xxhash64("tree", "h", "v"))

@@ -37,6 +37,8 @@ def alert_classifier(stats: DataFrame, threshold: float = C.ALERT_THRESHOLD_C, s
     if classes < 2:
         raise ValueError("both classes are needed: widen the time range")
     coded = StringIndexer(inputCol="device_id", outputCol="device_enc", stringOrderType="alphabetAsc").fit(table).transform(table)
+    # a plain number, as categories would limit the number of devices
+    coded = coded.withColumn("device_enc", F.col("device_enc").alias("device_enc", metadata={}))
     rows = VectorAssembler(inputCols=list(ALERT_FEATURES), outputCol="features").transform(coded).withColumn(
         "in_test", F.pmod(F.xxhash64("device_id", F.col(TS).cast("string"), F.lit(seed)), F.lit(100)) >= 80)
     model = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=n_trees, seed=seed, maxBins=64).fit(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.functions import quality_grade, round_half_up, to_celsius
-from plantpulse.operators.fleet import hottest_device
+from plantpulse.operators.fleet import hottest_device, top_n
 
 
 def reject_reasons(dlq: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def topic_extents(df: DataFrame, keys: tuple[str, ...] = ("topic", "partition"),
 
 def topic_sample(df: DataFrame, n: int, offset: str = "offset") -> DataFrame:
     """The first ``n`` messages by offset; undecodable ones among them are skipped."""
-    sample = df.orderBy(offset).limit(n)
+    sample = top_n(df, n, F.col(offset).asc())
     return sample.where(F.json_object_keys(F.col("value").cast("string")).isNotNull())
 
 

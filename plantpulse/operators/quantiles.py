@@ -28,7 +28,12 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     span = span.withColumn("_pos", positions)
     width = F.col("_hi") - F.col("_lo")
     bin_no = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1))).otherwise(0)
-    binned = counted.join(span, keyed).withColumn("_bin", bin_no.cast("int"))
+    if keys:
+        binned = counted.join(span, keyed)
+    else:  # one group: its span is a scalar, a join on a constant would gather everything
+        whole = span.select(F.struct("_lo", "_hi", "_n", "_pos")).scalar()
+        binned = counted.withColumn("_span", whole).select("_all", "_v", "_c", "_span.*")
+    binned = binned.withColumn("_bin", bin_no.cast("int"))
     histogram = binned.groupBy(*keyed, "_bin").agg(F.sum("_c").alias("_bc"), F.first("_pos").alias("_bpos"))
     upto = Window.partitionBy(*keyed).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     histogram = histogram.withColumn("_before", F.coalesce(F.sum("_bc").over(upto), F.lit(0)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 from plantpulse import constants as C
 from plantpulse.functions import round_half_up, time_bucket, trend_label
 from plantpulse.operators import chunks, folds
+from plantpulse.operators.chunks import SLICE
 from plantpulse.operators.windows import ordinal, with_device_stats
 from plantpulse.session import cut
 
@@ -133,24 +132,25 @@ def cusum(stats: DataFrame, threshold: float = 4.0, drift: float = 0.5, min_n: i
         raise ValueError("threshold must lie in 2..10")
     std = F.when(F.col("_std") > 0, F.col("_std")).otherwise(1.0)
     rows = (
-        with_device_stats(stats, "avg_temp_c", population=True).where(F.col("_n") >= min_n)
+        chunks.with_slice(with_device_stats(stats, "avg_temp_c", population=True), TS, slice_seconds)
+        .where(F.col("_n") >= min_n)
         .select("device_id", F.unix_micros(F.col(TS).cast("timestamp")).alias("_ts"), "avg_temp_c",
-                ((F.col("avg_temp_c") - F.col("_mean")) / std).alias("_z"), time_bucket(TS, slice_seconds).alias("_slice"))
+                ((F.col("avg_temp_c") - F.col("_mean")) / std).alias("_z"), *SLICE)
     )
     rows = cut(rows, "cusum-rows")
     state = ["_up", "_down"]
-    fold = folds.stepper(_cusum_step(threshold, drift), ["device_id", "_slice"], ["_z"], ["_ts", "avg_temp_c"],
+    fold = folds.stepper(_cusum_step(threshold, drift), ["device_id", *SLICE], ["_z"], ["_ts", "avg_temp_c"],
                          ["is_break", "s_pos", "s_neg"], state)
-    schema = ("device_id STRING, _slice BIGINT, _ts BIGINT, avg_temp_c DOUBLE, is_break BOOLEAN, s_pos DOUBLE, s_neg DOUBLE, "
+    schema = ("device_id STRING, _slice BIGINT, _part BIGINT, _ts BIGINT, avg_temp_c DOUBLE, is_break BOOLEAN, s_pos DOUBLE, s_neg DOUBLE, "
               "_up DOUBLE, _down DOUBLE")
-    slices = rows.select("device_id", "_slice").distinct()
+    slices = rows.select("device_id", *SLICE).distinct()
     zeros = slices.withColumns({c: F.lit(0.0) for c in state}).withColumn("_kind", F.lit(0))
     first = folds.ordered(
         rows.withColumn("_kind", F.lit(1)).unionByName(zeros, allowMissingColumns=True).na.fill(0, ["_ts"]),
-        ["device_id", "_slice"], ["_kind", "_ts"], fold, schema)
-    ends = first.groupBy("device_id", "_slice").agg(F.max_by(F.struct(*state), "_ts").alias("_end"))
-    previous = F.lag("_end").over(Window.partitionBy("device_id").orderBy("_slice"))
-    entries = cut(ends.select("device_id", "_slice", *[F.coalesce(previous[c], F.lit(0.0)).alias(c) for c in state]),
+        ["device_id", *SLICE], ["_kind", "_ts"], fold, schema)
+    ends = first.groupBy("device_id", *SLICE).agg(F.max_by(F.struct(*state), "_ts").alias("_end"))
+    previous = F.lag("_end").over(Window.partitionBy("device_id").orderBy(*SLICE))
+    entries = cut(ends.select("device_id", *SLICE, *[F.coalesce(previous[c], F.lit(0.0)).alias(c) for c in state]),
                   "cusum-entries")
     marked = folds.sliced(rows, entries, "device_id", ["_ts"], state, [0.0, 0.0], fold, schema, "cusum")
     return marked.select("device_id", F.timestamp_micros("_ts").alias(TS), "avg_temp_c", "is_break", "s_pos", "s_neg")

@@ -30,7 +30,7 @@ def window_stats(df: DataFrame, window: str = C.WINDOW_LENGTH, threshold: float
 def rolling(df: DataFrame, value: str = "avg_temp_c", n: int = 5, fns: tuple[str, ...] = ("mean", "std", "max"),
             key: str = "device_id", order: str = "window_start") -> DataFrame:
     """Trailing ``n``-row mean / sample std / max, from the first row on; std of one row is 0."""
-    extended = chunks.with_halo(df, key, [order], order, n - 1)
+    extended = chunks.with_halo(chunks.with_slice(df, order, chunks.DAY), key, [order], n - 1)
     frame = chunks.slice_window(key, [order]).rowsBetween(-(n - 1), 0)
     available = {
         "mean": F.avg(value).over(frame),

@@ -11,7 +11,7 @@ from plantpulse.functions import parse_ts
 from plantpulse.schemas import CLEAN_MESSAGE, RAW_MESSAGE
 
 
-def kafka_options(servers: str, topic: str, starting: str = "earliest", max_offsets: int | None = None) -> dict[str, str]:
+def kafka_options(servers: str, topic: str, starting: str = "earliest", max_offsets: int | None = 1_000_000) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
@@ -19,8 +19,11 @@ def kafka_options(servers: str, topic: str, starting: str = "earliest", max_offs
 
 
 def read_topic(spark: SparkSession, source: str | dict[str, str], streaming: bool = False,
-               max_files: int | None = None) -> DataFrame:
-    """Raw records. ``source`` is a folder of text files or a dict of Kafka options."""
+               max_files: int | None = 100) -> DataFrame:
+    """Raw records. ``source`` is a folder of text files or a dict of Kafka options.
+
+    The per-trigger limits bound a micro-batch, also the first one over a long backlog.
+    """
     reader = spark.readStream if streaming else spark.read
     if isinstance(source, dict):
         return reader.format("kafka").options(**source).load()

@@ -155,3 +155,31 @@ def test_integrity_of_nothing(rows):
     df = rows([], "device_id STRING, idx BIGINT, ok BOOLEAN")
     assert chain.global_integrity(chain.integrity_report(df)).first().asDict() == {
         "total": 0, "valid": 0, "invalid": 0, "integrity_pct": 0.0}
+
+
+def test_slices_stay_bounded_under_copies(verify, spark):
+    """A third of all rows are copies of one message at one time; no slice may exceed the limit."""
+    from plantpulse.operators import chunks
+
+    messages = signed("hot", 200, gap=10) + signed("cold", 100, gap=10)
+    messages += [[d, 10_000 + i, s, c, p, h] for i in range(150) for d, q, s, c, p, h in [messages[50]]]
+    df = spark.createDataFrame([tuple(m) for m in messages], SCHEMA).withColumn(
+        "event_time", F.timestamp_seconds(F.lit(1773187200) + F.col("s")))
+    sizes = chunks.bounded_slices(df, "device_id", "event_time", "event_id", max_rows=40).groupBy("device_id", *chunks.SLICE).count()
+    assert sizes.agg(F.max("count"), F.sum("count")).first() == (40, 450)
+    check(verify, messages, max_rows=40)
+    full, small = (chain.linkage(df, max_rows=m).select("device_id", "event_id", "linked") for m in (10**6, 40))
+    assert small.exceptAll(full).count() == 0 and small.count() == 450
+
+
+def test_wrong_predictions_are_repaired(verify, monkeypatch):
+    """With every start state predicted wrong the result is still the sequential one."""
+    from plantpulse.operators import folds
+
+    original = folds.sliced
+
+    def spoiled(rows, entries, key, *args):
+        return original(rows, entries.withColumn("_state", F.lit("e" * 64)), key, *args)
+
+    monkeypatch.setattr(folds, "sliced", spoiled)
+    check(verify, signed("m", 100, gap=300) + signed("n", 3))
