@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plantpulse import constants as C
 from plantpulse.functions import heat_color, round_half_up, status_label
+from plantpulse.operators.quantiles import exact_quantiles
 
 TS = "window_start"
 
@@ -69,20 +70,15 @@ def device_short_summary(stats: DataFrame) -> DataFrame:
         F.sum("count_readings").alias("lecturas"), F.sum("alert").alias("alertas"))
 
 
-def _quartiles(value: str, *probs: float) -> Column:
-    # exact; a device adds one value per minute, so the buffer grows with elapsed minutes only
-    return F.percentile(value, F.array(*[F.lit(p) for p in probs]))
-
-
 def device_profile(stats: DataFrame) -> DataFrame:
     """Full per-device profile with quartiles and alert share, rounded as displayed."""
     base = stats.groupBy("device_id").agg(
         F.count("avg_temp_c").alias("ventanas"), F.avg("avg_temp_c").alias("m"), F.max("max_temp_c").alias("hi"),
         F.min("avg_temp_c").alias("lo"), F.stddev_samp("avg_temp_c").alias("s"),
-        _quartiles("avg_temp_c", 0.25, 0.75).alias("q"),
         F.sum("alert").alias("alertas"), F.sum("count_readings").alias("lecturas_total"))
-    q = [round_half_up(F.col("q")[i], 2) for i in (0, 1)]
-    return base.select(
+    quartiles = exact_quantiles(stats, ["device_id"], "avg_temp_c", {"q1": 0.25, "q3": 0.75})
+    q = [round_half_up(c, 2) for c in ("q1", "q3")]
+    return base.join(quartiles, "device_id", "left").select(
         "device_id", "ventanas", round_half_up("m", 2).alias("temp_media"), round_half_up("hi", 2).alias("temp_max"),
         round_half_up("lo", 2).alias("temp_min"), round_half_up("s", 2).alias("desv_std"),
         q[0].alias("p25"), q[1].alias("p75"), "alertas", "lecturas_total",
@@ -92,11 +88,11 @@ def device_profile(stats: DataFrame) -> DataFrame:
 
 def device_features(stats: DataFrame, threshold: float = C.ALERT_THRESHOLD_C) -> DataFrame:
     """Feature row per device for clustering."""
-    return stats.groupBy("device_id").agg(
+    moments = stats.groupBy("device_id").agg(
         F.avg("avg_temp_c").alias("mean_c"), F.stddev_samp("avg_temp_c").alias("std_c"),
         F.max("avg_temp_c").alias("max_c"), F.min("avg_temp_c").alias("min_c"),
-        F.avg((F.col("avg_temp_c") > threshold).cast("double")).alias("alert_rate"),
-        _quartiles("avg_temp_c", 0.9)[0].alias("p90_c"))
+        F.avg((F.col("avg_temp_c") > threshold).cast("double")).alias("alert_rate"))
+    return moments.join(exact_quantiles(stats, ["device_id"], "avg_temp_c", {"p90_c": 0.9}), "device_id", "left")
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:

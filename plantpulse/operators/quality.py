@@ -72,6 +72,14 @@ def quality_ratios(raw: DataFrame, clean: DataFrame, invalid: DataFrame, verifie
                                "pct_verified": share("verified")}).withColumn("estado", quality_grade("pct_invalid"))
 
 
+def estimated_integrity(verified: DataFrame, dlq: DataFrame) -> DataFrame:
+    """Share of verified messages among verified and rejected ones."""
+    counts = verified.agg(F.count(F.lit(1)).alias("verified")).withColumn(
+        "dlq", dlq.agg(F.count(F.lit(1)).alias("n")).scalar())
+    pct = F.try_divide(F.col("verified") * 100.0, F.col("verified") + F.col("dlq"))
+    return counts.withColumn("integrity_pct", F.round(pct, 6))
+
+
 def executive_summary(stats: DataFrame, raw: DataFrame, clean: DataFrame, invalid: DataFrame,
                       cold: DataFrame) -> DataFrame:
     """One row over all stores. The parts are scalar subqueries, not a product of tables."""

@@ -34,7 +34,10 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         whole = span.select(F.struct("_lo", "_hi", "_n", "_pos")).scalar()
         binned = counted.withColumn("_span", whole).select("_all", "_v", "_c", "_span.*")
     binned = binned.withColumn("_bin", bin_no.cast("int"))
-    histogram = binned.groupBy(*keyed, "_bin").agg(F.sum("_c").alias("_bc"), F.first("_pos").alias("_bpos"))
+    histogram = binned.groupBy(*keyed, "_bin").agg(F.sum("_c").alias("_bc"))
+    # at most ``bins`` rows per group from here on
+    histogram = (histogram.join(span.select(*keyed, F.col("_pos").alias("_bpos")), keyed) if keys
+                 else histogram.withColumn("_bpos", whole["_pos"]))
     upto = Window.partitionBy(*keyed).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     histogram = histogram.withColumn("_before", F.coalesce(F.sum("_bc").over(upto), F.lit(0)))
 

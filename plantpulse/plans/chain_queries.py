@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from plantpulse import constants as C
 from plantpulse import functions as fn
-from plantpulse.operators import chain
+from plantpulse.operators import chain, quality
 from plantpulse.plans.fixtures import half_up
 from plantpulse.plans.registry import query
+from plantpulse.sources import metrics
 
 
 @query("hc1_message_hash", f"SELECT event_id, sha256(concat(content_seen, '{C.GENESIS_HASH}')) AS digest FROM unsigned_messages")
@@ -69,3 +70,31 @@ SELECT count(*) AS total, count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (
   {half_up('count(*) FILTER (WHERE ok) * CAST(100 AS DOUBLE) / count(*)', 2)} AS integrity_pct FROM verified_messages""")
 def _(t):
     return chain.global_integrity(chain.integrity_report(t.verified))
+
+
+_TAGGED = "CASE WHEN ok THEN 'ok' ELSE 'dlq' END"
+
+
+def _tagged(t):
+    return t.verified.withColumn("tag", F.when(F.col("ok"), "ok").otherwise("dlq"))
+
+
+@query("snk3_tagged_sinks", f"SELECT {_TAGGED} AS tag, reason = '' AS clean, count(*) AS n FROM (SELECT v.ok, {_REASON} AS reason "
+       "FROM verified_messages v JOIN signed_messages s USING (device_id, rn)) GROUP BY ALL")
+def _(t):
+    path = t.folder("tagged")
+    metrics.write_tagged(_tagged(t).select("tag", "device_id", "reason"), path)
+    back = t.spark.read.schema("device_id STRING, reason STRING, tag STRING").json(path)
+    return back.groupBy("tag", (F.col("reason") == "").alias("clean")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("flt7_tag_filter", "SELECT device_id, event_id AS seq FROM verified_messages WHERE NOT ok")
+def _(t):
+    return _tagged(t).where("tag = 'dlq'").select("device_id", "seq")
+
+
+@query("agg25_estimated_integrity", """
+SELECT count(*) FILTER (WHERE ok) AS verified, count(*) FILTER (WHERE NOT ok) AS dlq,
+  round(count(*) FILTER (WHERE ok) * CAST(100 AS DOUBLE) / count(*), 6) AS integrity_pct FROM verified_messages""")
+def _(t):
+    return quality.estimated_integrity(t.verified.where("ok"), t.verified.where("NOT ok"))

@@ -27,6 +27,13 @@ def _(t):
     return trends.pairwise_corr(t.stats)
 
 
+@query("top5_ml2_ranked_pairs", f"""
+SELECT a.device_id AS machine_a, b.device_id AS machine_b, {half_up('corr(a.avg_temp_c, b.avg_temp_c)', 3)} AS corr
+FROM machine_stats a JOIN machine_stats b ON a.window_start = b.window_start AND a.device_id < b.device_id GROUP BY 1, 2""")
+def _(t):
+    return trends.ranked_pairs(trends.pairwise_corr(t.stats))
+
+
 @query("ml7_training_profile", f"""
 SELECT count(avg_temp_c) AS samples, {r6('avg(avg_temp_c)')} AS mean, {r6('stddev_pop(avg_temp_c)')} AS std, {r6('min(avg_temp_c)')} AS min,
   {r6('max(avg_temp_c)')} AS max, {r6('quantile_cont(avg_temp_c, 0.05)')} AS p5, {r6('quantile_cont(avg_temp_c, 0.95)')} AS p95

@@ -24,7 +24,7 @@ def _clean_stream(t):
     return topics.clean_topic(topics.read_topic(t.spark, path, streaming=True))
 
 
-@query("str2_stream_windows", f"""
+@query("str1_str2_stream_windows", f"""
 SELECT device_id, window_start, window_end, {r6('avg_temp_c')} AS avg_temp_c, {r6('max_temp_c')} AS max_temp_c, count_readings, alert
 FROM machine_stats WHERE window_end <= (SELECT max(event_time) FROM sensors_clean) - INTERVAL 10 SECOND""")
 def _(t):
@@ -42,7 +42,7 @@ def _(t):
     return t.spark.read.parquet(out).where("alert = 1").select("device_id", "window_start", "alert")
 
 
-@query("str8_stream_routing", """
+@query("str8_snk1_stream_routing", """
 SELECT CASE WHEN valid THEN 'clean' ELSE 'invalid' END AS route, coalesce(reason, '') AS reason, count(*) AS n FROM sensors_routed GROUP BY ALL""")
 def _(t):
     out = t.folder("routed")
@@ -52,6 +52,28 @@ def _(t):
     return rows.groupBy("route", F.coalesce("reason", F.lit("")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("str11_restart_from_checkpoint", "SELECT valid, count(*) AS n FROM sensors_routed GROUP BY valid")
+def _(t):
+    source, out, checkpoint = t.folder("raw-topic"), t.folder("routed"), t.folder("ck")
+    body = F.to_json(F.struct("device_id", "temperature", "unit", "ts")).alias("value")
+    for part in (t.routed.where("valid"), t.routed.where("NOT valid")):
+        # the second run sees both parts but reads only what is new
+        part.select(body).write.mode("append").text(source)
+        records = topics.read_topic(t.spark, source, streaming=True)
+        pipelines.normalize_stream(records, out, checkpoint).awaitTermination()
+    return t.spark.read.schema("valid BOOLEAN").json(out).groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("src3_str7_raw_text_keys", "SELECT coalesce(device_id, 'unknown') AS key, count(*) AS n FROM sensors_raw GROUP BY 1")
+def _(t):
+    out = t.folder("raw-copy")
+    records = _staged(t, t.messages.select("value"), "raw-topic")
+    records.writeStream.format("parquet").option("path", out).option("checkpointLocation", t.folder("ck")).trigger(
+        availableNow=True).start().awaitTermination()
+    key = F.coalesce(F.get_json_object("value", "$.device_id"), F.lit("unknown"))
+    return t.spark.read.parquet(out).groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("str10_stream_points", "SELECT count(*) AS n, min(CAST(epoch(event_time) AS BIGINT)) AS first_s FROM sensors_clean")
 def _(t):
     out = t.folder("points")
@@ -61,7 +83,7 @@ def _(t):
                      F.min(F.element_at(F.split("value", " "), -1).cast("bigint")).alias("first_s"))
 
 
-@query("str9_stream_lake", """
+@query("str9_snk6_stream_lake", """
 SELECT year, month, day, hour, count(*) AS n FROM lake_clean GROUP BY ALL""")
 def _(t):
     out = t.folder("lake")
@@ -70,7 +92,7 @@ def _(t):
     return lake.read_lake(t.spark, out).groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("str5_stream_verifier", """
+@query("str5_str6_stream_verifier", """
 SELECT device_id AS key, event_id AS seq, CASE WHEN ok THEN 'ok' ELSE 'dlq' END AS tag FROM verified_messages""")
 def _(t):
     verifier.use_state_store(t.spark)
