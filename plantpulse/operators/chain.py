@@ -97,8 +97,7 @@ def _verify_step(state, own_ok, prev, declared):
 
 
 def verify_chain(df: DataFrame, initial: str = GENESIS_HASH, missing_prev: str = "", canonical: str = "content",
-                 ts: str = "event_time", seq: str = "event_id", slice_seconds: int = chunks.HOUR,
-                 max_rows: int = chunks.MAX_ROWS) -> DataFrame:
+                 ts: str = "event_time", seq: str = "event_id", max_rows: int = chunks.MAX_ROWS) -> DataFrame:
     """Sequential chain verification of every device, one result row per message.
 
     Three passes, each over (device, slice) groups: self-consistent messages
@@ -108,13 +107,15 @@ def verify_chain(df: DataFrame, initial: str = GENESIS_HASH, missing_prev: str =
     """
     prev = F.coalesce(F.col("prev_hash"), F.lit(missing_prev))
     declared = F.coalesce(F.col("hash"), F.lit(""))
+    # messages without a usable time come first
+    at = F.coalesce(F.col(ts).cast("timestamp"), F.timestamp_seconds(F.lit(0)))
     rows = df.select(
-        "device_id", F.col(ts).cast("timestamp").alias("_at"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_ts"),
+        "device_id", at.alias("_at"), F.unix_micros(at).alias("_ts"),
         F.col(seq).cast("bigint").alias("_seq"), prev.alias("_prev"), declared.alias("_declared"),
         message_hash(canonical, prev).alias("_computed"),
     ).withColumn("_own_ok", F.coalesce(F.col("_declared") == F.col("_computed"), F.lit(False)))
     # read by the jobs below; the written rows also survive lost executors
-    rows = chunks.bounded_slices(cut(rows, "chain-rows"), "device_id", "_at", "_seq", slice_seconds, max_rows).drop("_at")
+    rows = chunks.bounded_slices(cut(rows, "chain-rows"), "device_id", "_at", "_seq", max_rows).drop("_at")
 
     # copies of a message can not advance the chain again: the first one stands for all
     first = F.min(F.struct("_ts", "_seq", *SLICE, "_prev")).alias("f")

@@ -19,7 +19,7 @@ from plantpulse.session import cut
 DAY = 86_400
 HOUR = 3_600
 SLICE = ["_slice", "_part"]
-MAX_ROWS = 2_000_000
+MAX_ROWS = 250_000
 
 
 def with_slice(df: DataFrame, ts: str, seconds: int) -> DataFrame:
@@ -28,18 +28,18 @@ def with_slice(df: DataFrame, ts: str, seconds: int) -> DataFrame:
     return df.withColumns({"_slice": start, "_part": F.lit(0).cast("bigint")})
 
 
-def bounded_slices(df: DataFrame, key: str, ts: str, seq: str, seconds: int = HOUR, max_rows: int = MAX_ROWS) -> DataFrame:
+def bounded_slices(df: DataFrame, key: str, ts: str, seq: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """Slices of at most ``max_rows`` rows, whatever the distribution of keys and times.
 
-    A slice over the limit is cut into seconds, a second over the limit into
-    its timestamps and these by ranges of the unique ``seq`` (copies of one
-    message share key and time). Runs one counting job per level that is needed.
+    A key starts as one slice. Slices over the limit are cut into days, hours,
+    minutes, seconds and at last into ranges of the unique ``seq`` at one
+    timestamp (copies of one message share key and time). Each level that is
+    needed runs one counting job; a table without hot keys needs only the first.
     """
-    sliced = with_slice(df, ts, seconds)
-    finer = [
-        (time_bucket(ts, 1) * F.lit(1_000_000), F.lit(0).cast("bigint")),
-        (F.unix_micros(F.col(ts).cast("timestamp")), F.floor(F.col(seq) / F.lit(max_rows)).cast("bigint")),
-    ]
+    zero = F.lit(0).cast("bigint")
+    sliced = df.withColumns({"_slice": zero, "_part": zero})
+    finer = [(time_bucket(ts, n) * F.lit(n * 1_000_000), zero) for n in (DAY, HOUR, 60, 1)]
+    finer.append((F.unix_micros(F.col(ts).cast("timestamp")), F.floor(F.col(seq) / F.lit(max_rows)).cast("bigint")))
     for start, part in finer:
         sizes = sliced.groupBy(key, *SLICE).agg(F.count(F.lit(1)).alias("_n"))
         # written first: the join below then knows its size and broadcasts it only if it is small

@@ -30,10 +30,6 @@ def ingest(messages: DataFrame, source_topic: str, qos: int = 1, clock: Column |
         return F.try_variant_get("_doc", f"$.{field}", "string")
 
     parsed = parsed.withColumns({
-        "_kind": F.schema_of_variant("_doc"),
-        "_device_kind": kind("device_id"),
-        "_unit_kind": kind("unit"),
-        "_temperature_kind": kind("temperature"),
         "device_id": string("device_id"),
         "_temperature": string("temperature"),
         "_unit": string("unit"),
@@ -41,24 +37,24 @@ def ingest(messages: DataFrame, source_topic: str, qos: int = 1, clock: Column |
         "hash": string("hash"),
         "prev_hash": string("prev_hash"),
     })
-    number = F.when(F.col("_temperature_kind") == "BOOLEAN", F.when(F.col("_temperature") == "true", 1.0).otherwise(0.0)
-                    ).otherwise(strip("_temperature").try_cast("double"))
+    # JSON types other than the device's are looked up only inside branches that need them
+    plain = F.when(F.col("_temperature").isin("true", "false") & (kind("temperature") == "BOOLEAN"),
+                   (F.col("_temperature") == "true").cast("double")).otherwise(strip("_temperature").try_cast("double"))
+    parsed = parsed.withColumn("temperature", plain)
+    number = F.col("temperature")
     unit_shown = (
-        F.when(F.col("_unit_kind").isNull(), "''")
-        .when(F.col("_unit_kind") == "VOID", "None")
-        .when(F.col("_unit_kind") == "STRING", quoted("_unit"))
+        F.when(F.col("_unit").isNull(), F.when(kind("unit") == "VOID", "None").otherwise("''"))
+        .when(kind("unit") == "STRING", quoted("_unit"))
         .otherwise(F.col("_unit"))
     )
-    temperature_shown = F.when(F.col("_temperature_kind") == "STRING", quoted("_temperature")).otherwise(
-        F.coalesce(F.col("_temperature"), F.col("_temperature_kind"))
-    )
-    temperature_absent = F.col("_temperature_kind").isNull() | (F.col("_temperature_kind") == "VOID")
+    temperature_shown = F.when(kind("temperature") == "STRING", quoted("_temperature")).otherwise(F.col("_temperature"))
+    temperature_absent = F.col("_temperature").isNull()
     reason = (
         F.when(~F.col("_utf8"), C.INGEST_NOT_UTF8)
         .when(F.col("_doc").isNull(), C.INGEST_BAD_JSON)
-        .when(~F.startswith("_kind", F.lit("OBJECT")), C.INGEST_NOT_OBJECT)
-        .when(F.coalesce(F.col("_device_kind"), F.lit("")) != "STRING", C.REASON_DEVICE)
-        .when(strip("device_id") == "", C.REASON_DEVICE)
+        .when(~F.startswith(strip(text), F.lit("{")), C.INGEST_NOT_OBJECT)
+        .when(F.coalesce(strip("device_id"), F.lit("")) == "", C.REASON_DEVICE)
+        .when(kind("device_id") != "STRING", C.REASON_DEVICE)
         .when(temperature_absent, C.INGEST_NO_TEMPERATURE)
         .when(number.isNull(), F.concat(F.lit(C.INGEST_NOT_NUMERIC), temperature_shown))
         .when(~F.coalesce(F.upper("_unit").isin(*C.UNITS), F.lit(False)),
@@ -69,7 +65,7 @@ def ingest(messages: DataFrame, source_topic: str, qos: int = 1, clock: Column |
     return parsed.select(
         *keep,
         "device_id",
-        number.alias("temperature"),
+        "temperature",
         # upper-cased after signing, so a lower-case unit later fails the hash check
         F.upper("_unit").alias("unit"),
         "ts",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantpulse.constants import GENESIS_HASH
-from plantpulse.operators import chain
+from plantpulse.operators import chain, chunks
 
 SCHEMA = "device_id STRING, event_id BIGINT, s BIGINT, content STRING, prev_hash STRING, hash STRING"
 
@@ -56,6 +56,7 @@ def as_dict(results):
 
 
 def check(verify, messages, **kw):
+    kw.setdefault("max_rows", 15)
     got = as_dict(verify(messages, **kw))
     assert got == sequential(messages, **{k: v for k, v in kw.items() if k == "initial"})
     return [got[k][1] for k in sorted(got)]
@@ -124,9 +125,11 @@ def test_hot_device_is_split(verify, spark):
     messages = signed("hot", 2000, gap=30) + signed("cold", 10)
     df = spark.createDataFrame([tuple(m) for m in messages], SCHEMA).withColumn(
         "event_time", F.timestamp_seconds(F.lit(1773187200) + F.col("s")))
-    sliced = df.withColumn("_slice", F.floor(F.unix_seconds("event_time") / 3600))
-    assert sliced.where("device_id = 'hot'").select("_slice").distinct().count() > 10
-    assert all(check(verify, messages))
+    slices = chunks.bounded_slices(df, "device_id", "event_time", "event_id", 150).groupBy("device_id", *chunks.SLICE).count()
+    counts = slices.groupBy("device_id").agg(F.count("count").alias("n"), F.max("count").alias("largest")).collect()
+    assert {r.device_id: (r.n > 10, r.largest <= 150) for r in counts} == {"hot": (True, True), "cold": (False, True)}
+    assert all(check(verify, messages, max_rows=150))
+    assert all(r.ok for r in verify(messages).collect())
 
 
 def test_sign_then_verify(spark):
@@ -159,8 +162,6 @@ def test_integrity_of_nothing(rows):
 
 def test_slices_stay_bounded_under_copies(verify, spark):
     """A third of all rows are copies of one message at one time; no slice may exceed the limit."""
-    from plantpulse.operators import chunks
-
     messages = signed("hot", 200, gap=10) + signed("cold", 100, gap=10)
     messages += [[d, 10_000 + i, s, c, p, h] for i in range(150) for d, q, s, c, p, h in [messages[50]]]
     df = spark.createDataFrame([tuple(m) for m in messages], SCHEMA).withColumn(
