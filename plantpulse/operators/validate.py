@@ -78,9 +78,9 @@ def compare_validation(checked: DataFrame, dlq: DataFrame) -> DataFrame:
     total = local.select("total")
     # The two source names
     return local.select(
-        F.lit("Validación local (validators.py)").alias("fuente"),
+        F.lit("Validación local").alias("fuente"),
         (F.col("total") - F.col("rechazados")).alias("validos"), "rechazados",
     ).unionByName(remote.select(
-        F.lit("DLQ Flink (sensors_invalid)").alias("fuente"),
+        F.lit("DLQ (sensors_invalid)").alias("fuente"),
         (total.scalar() - F.col("rechazados")).alias("validos"), "rechazados",
     ))

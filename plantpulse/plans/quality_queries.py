@@ -125,9 +125,9 @@ def _(t):
 
 
 @query("jn4_validation_vs_dlq", f"""
-SELECT 'Validación local (validators.py)' AS fuente, count(*) FILTER (WHERE {RAW_ERROR} IS NULL) AS validos,
+SELECT 'Validación local' AS fuente, count(*) FILTER (WHERE {RAW_ERROR} IS NULL) AS validos,
        count(*) FILTER (WHERE {RAW_ERROR} IS NOT NULL) AS rechazados FROM sensors_raw
-UNION ALL SELECT 'DLQ Flink (sensors_invalid)', count(*) FILTER (WHERE valid), count(*) FILTER (WHERE NOT valid) FROM sensors_routed""")
+UNION ALL SELECT 'DLQ (sensors_invalid)', count(*) FILTER (WHERE valid), count(*) FILTER (WHERE NOT valid) FROM sensors_routed""")
 def _(t):
     return validate.compare_validation(validate.validate(_with_hashes(t)), t.invalid)
 
