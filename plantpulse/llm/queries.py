@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantpulse.llm.decontamination import decontaminate
 from plantpulse.llm.exact_dedup import exact_dedup
 from plantpulse.llm.line_dedup import line_dedup
+from plantpulse.llm.packing import pack
 from plantpulse.llm.pii import find_pii, pii_digest
 from plantpulse.llm.secrets import scan_secrets, secret_digest
 from plantpulse.llm.text import UPPER, hex_sha256
+from plantpulse.llm.token_shards import read_shards, write_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +75,40 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secrets")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op3_token_shards")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = write_shards(table(spark, sf_dir, "documents"))
+    return index.join(read_shards(index, folder).drop("ids"), "slot")
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op10_decontamination", f"""
+WITH d AS (SELECT doc_id, {_WORDS.format(_TEXT)} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format(_TEXT)} AS w FROM benchmark),
+spans AS (SELECT item_id, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+marks AS (SELECT DISTINCT item_id, k, array_to_string(w[s : s + k - 1], ' ') AS gram FROM spans, unnest(range(1, len(w) - k + 2)) AS r(s)),
+grams AS (SELECT doc_id, s, k, array_to_string(w[s : s + k - 1], ' ') AS gram
+          FROM d, (SELECT DISTINCT k FROM spans), unnest(range(1, len(w) - k + 2)) AS r(s)),
+hits AS (SELECT DISTINCT doc_id, s, k, item_id FROM grams JOIN marks USING (k, gram)),
+inside AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM hits) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN inside USING (doc_id) LEFT JOIN held USING (doc_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        hex_sha256(F.array_join("items", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
