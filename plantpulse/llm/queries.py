@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantpulse.llm import language_id, toxicity
 from plantpulse.llm.decontamination import decontaminate
 from plantpulse.llm.exact_dedup import exact_dedup
 from plantpulse.llm.line_dedup import line_dedup
@@ -112,3 +113,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         hex_sha256(F.array_join("items", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", language_id.held_out(F.col("doc_id"), 3, 1).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.held_out(F.col("doc_id"), 4, 2)
+    model = language_id.fit(docs.filter(~out))
+    return language_id.identify(docs, model, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "lang_pred", "score")
