@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plantpulse.llm import language_id, toxicity
 from plantpulse.llm.decontamination import decontaminate
 from plantpulse.llm.exact_dedup import exact_dedup
+from plantpulse.llm.jaccard_join import near_duplicates
 from plantpulse.llm.line_dedup import line_dedup
 from plantpulse.llm.packing import pack
 from plantpulse.llm.pii import find_pii, pii_digest
@@ -132,3 +133,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language_id.held_out(F.col("doc_id"), 4, 2)
     model = language_id.fit(docs.filter(~out))
     return language_id.identify(docs, model, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_docs", "representative")
