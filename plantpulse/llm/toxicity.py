@@ -29,7 +29,7 @@ LEET = {
 }
 SEPARATORS = " .-_*"
 #: Costs in nats: to read a sign as a letter, to drop a separator, to drop a repeated letter, to keep what can't be read.
-SIGN, DROP, REPEAT, KEEP = 1.0, 0.5, 0.3, 6.0
+SIGN, DROP, REPEAT, KEEP = 1.0, 0.5, 0.3, 14.0
 
 _SIGNS = "0-9@$!|+€"
 SPACED = r"(?<![^\W_])[^\W\d_](?:[ .\-_*][^\W\d_]){2,}(?![^\W_])"
@@ -56,17 +56,16 @@ class Channel:
         return {"cost": self.cost, "seen": {}}
 
     def arcs(self, chunk: str, i: int) -> list[tuple[str, float]]:
-        """What the i-th sign may have come from, and at what cost."""
+        """What the i-th sign may have come from, and at what cost. A run of three or more of a sign is one or two."""
         c = chunk[i]
-        if c.isalpha():
-            again = i > 0 and chunk[i - 1] == c
-            return [(c, 0.0), ("", REPEAT)] if again else [(c, 0.0)]
         if c in SEPARATORS:
             return [("", DROP), (" ", 0.0)]
-        if c in LEET:
-            again = i > 0 and chunk[i - 1] == c
-            return [*((x, SIGN) for x in LEET[c]), *([("", REPEAT)] if again else []), (" ", KEEP)]
-        return [(" ", KEEP)]
+        letters = [(c, 0.0)] if c.isalpha() else [(x, SIGN) for x in LEET.get(c, "")] + [(" ", KEEP)]
+        before = i - len(chunk[:i].rstrip(c))
+        run = before + len(chunk[i:]) - len(chunk[i:].lstrip(c))
+        if run < 3 or not before:
+            return letters
+        return [*letters, ("", REPEAT)] if before == 1 else [("", 0.0)]
 
     def decode(self, chunk: str) -> str:
         """The cheapest path through the lattice (Viterbi over the last two letters)."""
@@ -146,6 +145,11 @@ def features(restored: str) -> set[str]:
     return found | {f"{w[:4]}*" for w in found if len(w) >= 4} | {f"{w[:5]}*" for w in found if len(w) >= 5}
 
 
+def shaped(odds: np.ndarray) -> np.ndarray:
+    """Squares, so that one strong word counts for more than several weak ones of a long text."""
+    return (odds / 3) ** 2
+
+
 @dataclass
 class ToxicityModel:
     channel: Channel
@@ -173,7 +177,7 @@ class ToxicityModel:
     def score(self, text: str | None) -> float:
         if self.weights is None:
             return 0.0
-        return float(1 / (1 + np.exp(-np.clip(np.dot(self.weights, [*self.evidence(text), 1.0]), -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(np.dot(self.weights, [*shaped(np.array(self.evidence(text))), 1.0]), -30, 30))))
 
 
 def _fold(identifier) -> int:
@@ -258,7 +262,7 @@ def fit(
     fitted = two.mapInArrow(_calibration(sent), "a double, b double, c double, y long").toPandas()
     y = fitted["y"].to_numpy(float)
     if 0 < y.sum() < len(y):
-        model.weights = logistic(fitted[["a", "b", "c"]].to_numpy(), y)
+        model.weights = logistic(shaped(fitted[["a", "b", "c"]].to_numpy()), y)
     return model
 
 
