@@ -31,9 +31,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates. Rows alike in identifier and text are one document, once."""
     gone = near_duplicates(docs).filter(~F.col("representative")).select(F.col("doc_id").alias("_id"), F.col("text_fp").alias("_fp")).distinct()
-    fp = F.xxhash64(F.coalesce("text", F.lit("")))
-    rest = docs.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (fp == F.col("_fp")), "left_anti")
-    return rest.select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    fp = F.xxhash64(F.coalesce("doc.text", F.lit("")))
+    rest = whole.join(gone.hint("shuffle_hash"), F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (fp == F.col("_fp")), "left_anti")
+    return rest.select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,15 +53,14 @@ def line_dedup(
     gone = hashed.join(best, ["_run", "_h", "_g"]).filter(~F.col("_id").eqNullSafe(F.col("_first")))
     dropped = gone.groupBy("_id", "_fp").agg(F.collect_set("_pos").alias("_gone"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    whole = docs.select(*[F.col(f"`{c}`") for c in names], *same).alias("d")
-    met = whole.join(
-        dropped.hint("shuffle_hash").alias("x"),
-        F.col("d._id").eqNullSafe(F.col("x._id")) & (F.col("d._fp") == F.col("x._fp")), "left",
-    )
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), *same)
+    found = dropped.select(F.col("_id").alias("_of"), F.col("_fp").alias("_mark"), "_gone").hint("shuffle_hash")
+    met = whole.join(found, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_fp") == F.col("_mark")), "left")
+    text = F.coalesce(F.col(f"_doc.`{text_col}`"), F.lit(""))
     parts = F.split(text, "\n", -1)
-    rest = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("x._gone"))
-    kept = F.when(F.col("x._gone").isNull(), text).otherwise(F.array_join(F.transform(F.array_sort(rest), lambda i: F.get(parts, i)), "\n"))
+    rest = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
+    kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.transform(F.array_sort(rest), lambda i: F.get(parts, i)), "\n"))
     return met.select(
-        *[kept.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in names],
-        F.size(parts).cast("long").alias("n_lines"), F.coalesce(F.size("x._gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[kept.alias(c) if c == text_col else F.col(f"_doc.`{c}`") for c in names],
+        F.size(parts).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
