@@ -46,6 +46,10 @@ SOURCE_COLD = "MinIO (cold)"
 NO_DATA = "SIN DATOS"
 ROSTER = ("machine-001", "machine-002", "machine-003", "machine-004", "machine-005")
 
+# --- Fixed values: topics
+TOPIC_CLEAN, TOPIC_INVALID, TOPIC_VERIFIED = "sensors_clean", "sensors_invalid", "sensors_verified"
+UNKNOWN_DEVICE = "unknown"
+
 # --- Fixed values: formats ----------------------------------------------------
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 WATERMARK_DELAY = "10 seconds"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["unit_code", "to_celsius", "from_celsius", "round_half_up", "register_functions"]
+__all__ = ["unit_code", "to_celsius", "from_celsius", "round_half_up", "round_even", "register_functions"]
 
 
 def _col(c: Column | str) -> Column:
@@ -43,9 +43,19 @@ def round_half_up(x: Column | str, digits: int) -> Column:
 
     The nudge makes a printed tie (x.xx5) go up no matter in which order its
     average was summed, so a result does not depend on the partitioning.
+    Numbers without that many digits, NaN and infinities stay as they are.
     """
-    scale = float(10**digits)
-    return F.floor(_col(x) * scale + F.lit(0.5 + 1e-7)).cast("double") / scale
+    x, scale = _col(x), float(10**digits)
+    return F.when(F.abs(x) * scale < 1e15, F.floor(x * scale + F.lit(0.5 + 1e-7)).cast("double") / scale).otherwise(x)
+
+
+def round_even(x: Column | str, digits: int) -> Column:
+    """``round(x, digits)`` of the stored binary value: ties go to the even digit, 2.675 is below a tie.
+
+    NaN, infinities and numbers without that many digits stay as they are.
+    """
+    x = _col(x)
+    return F.when(F.abs(x) * float(10**digits) < 1e15, F.replace(F.format_number(x, digits), F.lit(","), F.lit("")).cast("double")).otherwise(x)
 
 
 def register_functions(spark: SparkSession) -> None:

@@ -25,6 +25,16 @@ def _average_path(n):
     return np.where(n > 2, 2.0 * (np.log(inner) + EULER) - 2.0 * inner / (inner + 1.0), np.where(n == 2, 1.0, 0.0))
 
 
+def _binomial(n: int, p: float) -> np.ndarray:
+    """P(X < k) for k = 1 ... n of a binomial variable: a uniform number lies at or above as many of them as X says."""
+    chance, below, out = (1 - p) ** n, 0.0, []
+    for k in range(n):
+        below += chance
+        out.append(below if p < 1 else 0.0)
+        chance *= (n - k) / (k + 1) * p / (1 - p) if p < 1 else 0.0
+    return np.array(out)
+
+
 def _grow(sample: np.ndarray, seed: int) -> list[tuple[float, float, float]]:
     """Random splits of one sample; leaves as (lo, hi, depth) intervals of the feature."""
     rng = np.random.default_rng(seed)
@@ -55,31 +65,24 @@ class IsolationForestJob:
         described = profile(rows, "v").first()
         if described["samples"] < MIN_SAMPLES:
             raise ValueError(f"at least {MIN_SAMPLES} samples are needed, got {described['samples']}")
-        # One uniform draw that is large enough for all trees, then 256 of it per tree. Only
-        # hashes low enough to be drawn are sorted: about four times the rows that are needed.
-        wanted = self.n_trees * self.sample
-        low = min(1.0, 4.0 * wanted / described["samples"])
-        pool = rows.where(F.pmod("h", F.lit(1 << 40)) <= int(low * (1 << 40))).orderBy(
-            F.pmod("h", F.lit(1 << 40)), "h", "v").limit(wanted)
+        # Every row draws, by the hash of its key, how many trees it joins (binomial, so each tree gets
+        # ``sample`` rows on average) and which ones: one pass, and one rule whatever the table's size.
         per_tree = min(self.sample, described["samples"])
-        # each tree looks at about four times the rows it takes, so Python sees few of them
-        share = min(1.0, 4.0 * per_tree / min(described["samples"], wanted))
-        trees = (
-            pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.n_trees - 1))))
-            .withColumn("g", F.xxhash64("tree", "h", "v"))
-            .where(F.pmod("g", F.lit(10_000)) < int(np.ceil(share * 10_000)))
-        )
+        steps = F.array(*[F.lit(float(x)) for x in _binomial(self.n_trees, per_tree / described["samples"])])
+        drawn = F.pmod("h", F.lit(1 << 40)) / float(1 << 40)
+        joins = rows.withColumn("k", F.size(F.filter(steps, lambda x: x <= drawn))).where("k > 0")
+        each = F.transform(F.sequence(F.lit(0), F.lit(self.n_trees - 1)), lambda i: F.struct(F.xxhash64("h", "v", i), i.alias("tree")))
+        trees = joins.withColumn("tree", F.explode(F.slice(F.array_sort(each), F.lit(1), F.col("k"))["tree"]))
         seed = self.seed
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
             tree = int(pdf["tree"].iat[0])
-            chosen = pdf.sort_values(["g", "v"]).head(per_tree)
-            leaves = _grow(chosen["v"].to_numpy(), seed * 1000 + tree)
+            leaves = _grow(pdf["v"].to_numpy(), seed * 1000 + tree)
             return pd.DataFrame([(tree, *leaf) for leaf in leaves], columns=["tree", "lo", "hi", "depth"])
 
-        leaves = trees.select("tree", "v", "g").groupBy("tree").applyInPandas(grow, TREES)
+        leaves = trees.select("tree", "v").groupBy("tree").applyInPandas(grow, TREES)
         spark = df.sparkSession
-        # at most 2 * 256 leaves for each of the trees, whatever the input size
+        # about 2 * 256 leaves for each of the trees, whatever the input size
         table = spark.createDataFrame(leaves.toPandas(), TREES)
         model = ForestModel(table, described.asDict(), per_tree, self.contamination, None)
         scores = model._scored(rows, "v")

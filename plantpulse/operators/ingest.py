@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,21 +81,26 @@ def ingest(messages: DataFrame, source_topic: str, qos: int = 1, clock: Column |
     )
 
 
-def forwarded(ingested: DataFrame, value: str = "value") -> DataFrame:
+def _enriched(added: pd.DataFrame) -> pd.Series:
+    """Messages with their own unit upper-cased and the added fields last; nested and repeated keys as JSON has them."""
+    out = []
+    for row in added.itertuples(index=False):
+        message = json.loads(row.text)
+        message["unit"] = message["unit"].upper()
+        message |= {"_mqtt_topic": row.topic, "_mqtt_qos": int(row.qos), "_ingested_at": int(row.at)}
+        out.append(json.dumps(message, ensure_ascii=False))
+    return pd.Series(out, dtype=object)
+
+
+def forwarded(ingested: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Accepted messages as topic records: key = device_id, value = enriched JSON.
 
-    The original text is kept byte for byte apart from the unit and the added
-    fields, because the hash covers every field the sender wrote.
+    Only the unit at the top level changes. Numbers are written back as they
+    were read (75.0 stays 75.0), because the hash covers every field the sender wrote.
     """
-    text = F.rtrim(F.col(value).cast("string"))
-    unit_pair = F.regexp_extract(text, r'"unit"\s*:\s*"[^"]*"', 0)
-    text = F.replace(text, unit_pair, F.concat(F.lit('"unit": "'), F.col("unit"), F.lit('"')))
-    extra = F.to_json(F.struct("_mqtt_topic", "_mqtt_qos", "_ingested_at"))
-    body = F.regexp_replace(text, r"\}\s*$", "")
-    return ingested.where(F.col("reject_reason").isNull()).select(
-        F.col("device_id").alias("key"),
-        F.concat(body, F.lit(", "), F.substring(extra, 2, 1 << 30)).alias("value"),
-    )
+    enriched = F.pandas_udf(_enriched, "string")
+    fields = F.struct(F.col(value).cast("string").alias("text"), F.col("_mqtt_topic").alias("topic"), F.col("_mqtt_qos").alias("qos"), F.col("_ingested_at").alias("at"))
+    return ingested.where(F.col("reject_reason").isNull()).select(*keep, F.col("device_id").alias("key"), enriched(fields).alias("value"))
 
 
 def missing_fields(value: Column, required: tuple[str, ...] = C.REQUIRED_BRIDGE) -> Column:

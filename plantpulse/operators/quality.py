@@ -15,8 +15,8 @@ def reject_reasons(dlq: DataFrame) -> DataFrame:
 
 
 def rejects_by_device(dlq: DataFrame, raw: str | None = None) -> DataFrame:
-    """Rejects per device; without a device the start of the raw text stands in."""
-    fallback = F.coalesce(F.substring(raw, 1, 20), F.lit("?")) if raw else F.lit("?")
+    """Rejects per device; without a device the whole raw text stands in. Clip it for display only."""
+    fallback = F.coalesce(F.col(raw), F.lit("?")) if raw else F.lit("?")
     return dlq.groupBy(F.coalesce(F.col("device_id"), fallback).alias("device_id")).agg(
         F.count(F.lit(1)).alias("rechazados")).orderBy(F.col("rechazados").desc(), "device_id")
 
@@ -89,9 +89,10 @@ def executive_summary(stats: DataFrame, raw: DataFrame, clean: DataFrame, invali
         F.round(F.avg("avg_temp_c"), 6).alias("temp_media_global"))
     row = hot.withColumns({
         "maquina_mas_caliente": hottest_device(stats).select("device_id").scalar(),
-        "raw": total(raw), "clean": total(clean), "invalid": total(invalid), "cold": total(cold),
-        "cold_con_temperatura": total(cold.where("temperature_c IS NOT NULL")),
-    })
+        "raw": total(raw), "clean": total(clean), "invalid": total(invalid),
+        # both counts of the cold side come out of one scan
+        "_cold": cold.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count("temperature_c").alias("t"))).scalar(),
+    }).withColumns({"cold": F.col("_cold.n"), "cold_con_temperatura": F.col("_cold.t")}).drop("_cold")
     pct = lambda a, b: F.round(F.try_divide(F.col(a) * 100.0, F.col(b)), 6)
     return row.withColumns({
         "pct_alerta": pct("ventanas_alerta", "ventanas"), "pct_aceptacion": pct("clean", "raw"),

@@ -19,9 +19,14 @@ def pivot_fields(long: DataFrame, fields: tuple[str, ...] = METRIC_FIELDS) -> Da
     return long.groupBy("device_id", "ts").pivot("field", list(fields)).agg(F.first("value"))
 
 
-def time_device_matrix(stats: DataFrame, devices: tuple[str, ...]) -> DataFrame:
-    """Mean per time and device, one column per rostered device."""
-    return stats.groupBy("window_start").pivot("device_id", list(devices)).agg(F.avg("avg_temp_c"))
+def time_device_means(stats: DataFrame) -> DataFrame:
+    """The time x device matrix in long form: one row per time and device, whatever the devices."""
+    return stats.groupBy("window_start", "device_id").agg(F.avg("avg_temp_c").alias("avg_temp_c"))
+
+
+def pivot_devices(means: DataFrame, devices: list[str]) -> DataFrame:
+    """One row per time and one column for each of the devices the caller names; other devices are not in it."""
+    return means.groupBy("window_start").pivot("device_id", devices).agg(F.first("avg_temp_c"))
 
 
 def coverage_matrix(unified: DataFrame, sources: tuple[str, ...]) -> DataFrame:

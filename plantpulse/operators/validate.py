@@ -76,11 +76,10 @@ def compare_validation(checked: DataFrame, dlq: DataFrame) -> DataFrame:
     local = checked.agg(F.count(F.lit(1)).alias("total"), F.count_if(failed).alias("rechazados"))
     remote = dlq.agg(F.count(F.lit(1)).alias("rechazados"))
     total = local.select("total")
-    # The two source names
     return local.select(
-        F.lit("Validación local").alias("fuente"),
+        F.lit("local").alias("fuente"),
         (F.col("total") - F.col("rechazados")).alias("validos"), "rechazados",
     ).unionByName(remote.select(
-        F.lit("DLQ (sensors_invalid)").alias("fuente"),
+        F.lit("dlq").alias("fuente"),
         (total.scalar() - F.col("rechazados")).alias("validos"), "rechazados",
     ))

@@ -263,12 +263,17 @@ def _(t):
     return fleet.compare_devices(t.stats, "machine-001", "machine-002")
 
 
+@query("jn3_rsh3_time_device_matrix", f"SELECT window_start, device_id, {r6('avg(avg_temp_c)')} AS avg_temp_c FROM machine_stats GROUP BY ALL")
+def _(t):
+    return reshape.time_device_means(t.stats)
+
+
 _MATRIX = ", ".join(f"round(avg(avg_temp_c) FILTER (WHERE device_id = '{d}'), 6) AS \"{d}\"" for d in C.ROSTER)
 
 
-@query("jn3_rsh3_time_device_matrix", f"SELECT window_start, {_MATRIX} FROM machine_stats GROUP BY window_start")
+@query("rsh3_pivot_named_devices", f"SELECT window_start, {_MATRIX} FROM machine_stats GROUP BY window_start")
 def _(t):
-    return reshape.time_device_matrix(t.stats, C.ROSTER)
+    return reshape.pivot_devices(reshape.time_device_means(t.stats), list(C.ROSTER))
 
 
 @query("rsh1_field_pivot", """

@@ -269,7 +269,20 @@ def _(t):
                           fn.trend_label(F.col(v) - 70).alias("trend"))
 
 
+_EXACT = "CAST(format('{{:.{0}f}}', {1}) AS DOUBLE)"
+
+
 @query("fn15_rounding", f"""
+SELECT event_id, {_EXACT.format(2, 'value')} AS r2, {_EXACT.format(1, 'value')} AS r1, {_EXACT.format(2, 'floor(value) + 0.125::DOUBLE')} AS tie,
+  {_EXACT.format(2, 'floor(value) + 0.675::DOUBLE')} AS near_tie, value * 1e16::DOUBLE AS large FROM events""")
+def _(t):
+    v = F.col("value")
+    return t.table("events").select(
+        "event_id", fn.round_even(v, 2).alias("r2"), fn.round_even(v, 1).alias("r1"), fn.round_even(F.floor(v) + 0.125, 2).alias("tie"),
+        fn.round_even(F.floor(v) + 0.675, 2).alias("near_tie"), fn.round_even(v * 1e16, 2).alias("large"))
+
+
+@query("fn15_display_rounding", f"""
 SELECT device_id, window_start, {half_up('avg_temp_c', 2)} AS r2, {half_up('avg_temp_c', 3)} AS r3, {half_up('avg_temp_c', 4)} AS r4
 FROM machine_stats""")
 def _(t):
@@ -344,10 +357,29 @@ def _(t):
 
 @query("snk5_reading_lines", """
 SELECT concat('sensor_reading,device_id=', device_id, ',unit_original=', replace(unit_original, ' ', '\\ '), ' temperature_c=',
-  format('{:.4f}', temperature_c), ',ingested_at=', _ingested_at, 'i ', CAST(epoch(event_time) AS BIGINT)) AS value FROM sensors_clean""")
+  CAST(temperature_c AS VARCHAR), ',ingested_at=', _ingested_at, 'i ', CAST(epoch(event_time) AS BIGINT)) AS value FROM sensors_clean""")
+def _(t):
+    return metrics.reading_lines(t.clean)
+
+
+@query("val3_forwarded", f"""
+SELECT event_id, device_id AS key, concat('{{"meta": {{"unit": "c"}}, "device_id": "', device_id, '", "temperature": ', CAST(temperature AS VARCHAR),
+  ', "unit": "', upper(unit), '", "ts": "', ts, '", "_mqtt_topic": "t", "_mqtt_qos": 1, "_ingested_at": 9}}') AS value
+FROM sensors_raw WHERE device_id <> '' AND temperature IS NOT NULL AND upper(unit) IN ('C', 'F', 'K')""")
+def _(t):
+    text = F.concat(
+        F.lit('{"meta": {"unit": "c"}, "device_id": "'), "device_id", F.lit('", "temperature": '), F.col("temperature").cast("string"),
+        F.lit(', "unit": "x", "unit": "'), "unit", F.lit('", "ts": "'), "ts", F.lit('"}'))
+    messages = t.raw.where("device_id IS NOT NULL AND temperature IS NOT NULL AND unit IS NOT NULL").select("event_id", text.alias("value"))
+    return ingest.forwarded(ingest.ingest(messages, "t", 1, F.lit(9)), keep=("event_id",))
+
+
+@query("snk1_topic_records", """
+SELECT CASE WHEN valid THEN 'sensors_clean' ELSE 'sensors_invalid' END AS topic, coalesce(device_id, 'unknown') AS key,
+  concat('{"event_id":', event_id, CASE WHEN device_id IS NULL THEN '' ELSE concat(',"device_id":"', device_id, '"') END, ',"ts":"', ts, '"',
+         CASE WHEN reason IS NULL THEN '' ELSE concat(',"reason":"', reason, '"') END, '}') AS value FROM sensors_routed""")
 def _(t):
-    return metrics.to_line_protocol(t.clean, "sensor_reading", ["device_id", "unit_original"], {
-        "temperature_c": ("temperature_c", metrics.DECIMAL), "ingested_at": ("_ingested_at", metrics.INTEGER)}, "event_time")
+    return topics.routed_records(t.routed, ["event_id", "device_id", "ts"], ["event_id", "device_id", "ts", "reason"])
 
 
 @query("rsh2_wide_to_long", f"SELECT device_id, ts, field, {r6('value')} AS value FROM metrics_long")

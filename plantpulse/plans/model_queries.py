@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantpulse.operators import fleet, forest, learners, quality, quantiles, trends
-from plantpulse.plans.fixtures import half_up, r6
+from plantpulse.plans.fixtures import ANCHOR, half_up, r6
 from plantpulse.plans.registry import query
 
 _LINE = """SELECT device_id, regr_slope(avg_temp_c, idx) AS b, regr_intercept(avg_temp_c, idx) AS a, count(*) AS n
@@ -95,7 +95,12 @@ def _forest(t):
     return forest.IsolationForestJob().fit(t.stats)
 
 
-@query("ml3_api5_forest_training")
+_STATUS = f"""SELECT true AS trained, 0.1::DOUBLE AS contamination, count(avg_temp_c)::DOUBLE AS samples, {r6('avg(avg_temp_c)')} AS mean,
+  {r6('stddev_pop(avg_temp_c)')} AS std, {r6('min(avg_temp_c)')} AS min, {r6('max(avg_temp_c)')} AS max,
+  {r6('quantile_cont(avg_temp_c, 0.05)')} AS p5, {r6('quantile_cont(avg_temp_c, 0.95)')} AS p95 FROM machine_stats"""
+
+
+@query("ml3_api5_forest_training", _STATUS)
 def _(t):
     return _forest(t).status(t.spark)
 
@@ -137,7 +142,7 @@ def _(t):
     return learners.cluster_devices(t.stats)["assignments"]
 
 
-@query("api5_train_range")
+@query("api5_train_range", f"{_STATUS} WHERE window_start >= {ANCHOR} - INTERVAL 120 MINUTE")
 def _(t):
     return _forest_of_range(t).status(t.spark)
 

@@ -72,9 +72,11 @@ def _(t):
 
 
 @query("agg17_rejects_by_device", """
-SELECT coalesce(device_id, substr(reason, 1, 20)) AS device_id, count(*) AS rechazados FROM sensors_invalid GROUP BY 1""")
+SELECT coalesce(device_id, concat('{"temperature":', CAST(temperature AS VARCHAR), ',"unit":"', unit, '","ts":"', ts, '"}')) AS device_id,
+  count(*) AS rechazados FROM sensors_invalid GROUP BY 1""")
 def _(t):
-    return quality.rejects_by_device(t.invalid, "reason")
+    raw = F.to_json(F.struct("device_id", "temperature", "unit", "ts"))
+    return quality.rejects_by_device(t.invalid.withColumn("raw", raw), "raw")
 
 
 @query("agg19_unit_distribution", f"""
@@ -125,9 +127,9 @@ def _(t):
 
 
 @query("jn4_validation_vs_dlq", f"""
-SELECT 'Validación local' AS fuente, count(*) FILTER (WHERE {RAW_ERROR} IS NULL) AS validos,
+SELECT 'local' AS fuente, count(*) FILTER (WHERE {RAW_ERROR} IS NULL) AS validos,
        count(*) FILTER (WHERE {RAW_ERROR} IS NOT NULL) AS rechazados FROM sensors_raw
-UNION ALL SELECT 'DLQ (sensors_invalid)', count(*) FILTER (WHERE valid), count(*) FILTER (WHERE NOT valid) FROM sensors_routed""")
+UNION ALL SELECT 'dlq', count(*) FILTER (WHERE valid), count(*) FILTER (WHERE NOT valid) FROM sensors_routed""")
 def _(t):
     return validate.compare_validation(validate.validate(_with_hashes(t)), t.invalid)
 
@@ -136,12 +138,12 @@ _RATIOS = f"""SELECT *, {r6(f'clean * {_PCT} / raw')} AS pct_clean, {r6(f'invali
   {r6(f'verified * {_PCT} / raw')} AS pct_verified,
   CASE WHEN invalid * {_PCT} / raw < 5 THEN 'BUENA' WHEN invalid * {_PCT} / raw < 15 THEN 'ACEPTABLE' ELSE 'REVISAR' END AS estado
 FROM (SELECT count(*) AS raw, count(*) FILTER (WHERE valid) AS clean, count(*) FILTER (WHERE NOT valid) AS invalid,
-             count(*) FILTER (WHERE valid AND temperature_c <= 80) AS verified FROM sensors_routed)"""
+             (SELECT count(*) FROM verified_messages WHERE ok) AS verified FROM sensors_routed)"""
 
 
 @query("agg26_agg27_quality_ratios", _RATIOS)
 def _(t):
-    return quality.quality_ratios(t.raw, t.clean, t.invalid, t.clean.where("temperature_c <= 80"))
+    return quality.quality_ratios(t.raw, t.clean, t.invalid, t.verified.where("ok"))
 
 
 @query("agg28_executive_summary", f"""

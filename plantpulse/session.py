@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,18 +30,27 @@ def build(app: str = "plantpulse", master: str | None = None, **settings: str) -
     return prepare(builder.getOrCreate())
 
 
+_ROOTS: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Where that is unset, the warehouse is the shared folder. The session's part of it goes when the session
+    ends; the caller's settings stay as they are.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="plantpulse-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    if application not in _ROOTS:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        if base.startswith("file:/") and not base.startswith("file://"):
+            base = f"file://{base.removeprefix('file:')}"
+        root = f"{base.rstrip('/')}/plantpulse-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _ROOTS[application] = root
+    return f"{_ROOTS[application]}/{label}-{uuid.uuid4().hex}"
 
 
 def cut(df, label: str):

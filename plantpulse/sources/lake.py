@@ -28,9 +28,11 @@ def write_lake(df: DataFrame, path: str, partition_by: str = "event", mode: str
 
 
 def stream_lake(df: DataFrame, path: str, checkpoint: str, partition_by: str = "event",
-                interval: str | None = C.LAKE_FLUSH):
+                interval: str | None = C.LAKE_FLUSH, files_per_hour: int = 4):
     """Streaming write; offsets are committed by the checkpoint after the files are written."""
     rows = with_partitions(df, partition_by).drop("event_time")
+    # few files per hour and micro-batch, and a hot hour still is several tasks' work
+    rows = rows.repartition(*PARTITIONS, F.pmod(F.xxhash64("device_id", "ts"), F.lit(files_per_hour)))
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         rows.writeStream.format("json").partitionBy(*PARTITIONS).option("checkpointLocation", checkpoint)

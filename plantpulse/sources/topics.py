@@ -68,9 +68,25 @@ def to_topic_records(df: DataFrame, key: str = "device_id") -> DataFrame:
     return df.select(F.col(key).alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def write_topic(df: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
-    """Write records to Kafka: a streaming query when ``df`` streams, else a batch write."""
-    options = {"kafka.bootstrap.servers": servers, "topic": topic}
+def routed_records(routed: DataFrame, clean: list[str], invalid: list[str]) -> DataFrame:
+    """Both sides of a routed frame as records of their topics: topic, key, value; each message in exactly one."""
+    value = F.when(F.col("valid"), F.to_json(F.struct(*clean))).otherwise(F.to_json(F.struct(*invalid)))
+    topic = F.when(F.col("valid"), C.TOPIC_CLEAN).otherwise(C.TOPIC_INVALID)
+    return routed.select(topic.alias("topic"), F.coalesce("device_id", F.lit(C.UNKNOWN_DEVICE)).alias("key"), value.alias("value"))
+
+
+def tagged_records(tagged: DataFrame) -> DataFrame:
+    """Verified messages and dead letters of the chain verifier as records of their topics."""
+    topic = F.when(F.col("tag") == "ok", C.TOPIC_VERIFIED).otherwise(C.TOPIC_INVALID)
+    return tagged.select(topic.alias("topic"), "key", F.col("payload").alias("value"))
+
+
+def write_topic(df: DataFrame, servers: str, topic: str | None = None, checkpoint: str | None = None):
+    """Write records to Kafka: a streaming query when ``df`` streams, else a batch write.
+
+    Without ``topic`` each record goes to the topic it names, so one job feeds several topics.
+    """
+    options = {"kafka.bootstrap.servers": servers} | ({"topic": topic} if topic else {})
     if df.isStreaming:
         return df.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint).start()
     return df.write.format("kafka").options(**options).save()

@@ -17,14 +17,14 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 OUTPUT = "key STRING, seq BIGINT, tag STRING, payload STRING"
 
 
-def check(text: str, last: str) -> tuple[str, str, str]:
-    """(tag, payload, last valid hash afterwards) of one raw message."""
+def check(text: str | None, last: str) -> tuple[str, str, str]:
+    """(tag, payload, last valid hash afterwards) of one raw message; a null record is a dead letter."""
     try:
         message = json.loads(text)
-    except ValueError:
+    except (TypeError, ValueError):
         message = None
     if not isinstance(message, dict):
-        return "dlq", json.dumps({"raw": text[:500], "reason": CHAIN_BAD_JSON}), last
+        return "dlq", json.dumps({"raw": text, "reason": CHAIN_BAD_JSON}), last
     declared, previous = message.get("hash", ""), message.get("prev_hash", GENESIS_HASH)
     if previous != last:
         return "dlq", json.dumps({**message, "reason": CHAIN_BAD_PREV, "expected_prev": last}), last
@@ -48,7 +48,7 @@ class ChainVerifier(StatefulProcessor):
         arrived = pd.concat(list(rows)).sort_values("seq", kind="stable")
         tags, payloads = [], []
         for text in arrived["value"].tolist():
-            tag, payload, last = check(text, last)
+            tag, payload, last = check(text if isinstance(text, str) else None, last)
             tags.append(tag)
             payloads.append(payload)
         self._last.update((last,))
