@@ -1,71 +1,66 @@
 """Exact linear-interpolated quantiles without gathering a group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here each
-group is cut into equal-width value bins; only the bins that hold a wanted
-rank are looked at value by value.
+``percentile`` keeps every distinct value of a group in one buffer. Here a
+mergeable sketch gives two values around each wanted rank; everything below is
+counted exactly, and only the few rows between them are looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantpulse.functions import round_half_up
+#: The sketch is off by one in so many ranks at most.
+ACCURACY = 10_000
 
-BINS = 4096
 
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
+    """One row per group with the columns named in ``probs``; NULL and NaN values are ignored.
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bins: int = BINS) -> DataFrame:
-    """One row per group with the columns named in ``probs``; NULL values are ignored."""
+    Two passes: sketches, then counts and the rows between the brackets, about ``8 / accuracy`` of a group for each
+    probability, whatever its values look like. Only sketches, counts and those rows are exchanged.
+    """
     keyed = keys or ["_all"]
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
         *([F.col(k) for k in keys] or [F.lit(1).alias("_all")]), F.col(value).cast("double").alias("_v"))
-    # equal values are folded into one counted row before anything is joined or sorted;
-    # this exchange is shared by all three uses below
-    counted = rows.groupBy(*keyed, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    span = counted.groupBy(*keyed).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
-    positions = F.array(*[F.lit(float(p)) * (F.col("_n") - 1) for p in probs.values()])
-    span = span.withColumn("_pos", positions)
-    width = F.col("_hi") - F.col("_lo")
-    bin_no = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1))).otherwise(0)
+    margin = 4.0 / accuracy
+    ends = [x for p in probs.values() for x in (max(0.0, p - margin), min(1.0, p + margin))]
+    span = rows.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_cut"))
+    met = _beside(rows, span, keys, ["_n", "_cut"])
+    v, each = F.col("_v"), range(len(probs))
+    lo, hi = [F.col("_cut")[2 * i] for i in each], [F.col("_cut")[2 * i + 1] for i in each]
+    counts = met.groupBy(*keyed).agg(
+        F.first("_n").alias("_n"), F.array(*[F.count_if(v < lo[i]) for i in each]).alias("_below"),
+        # the neighbours of a bracket: interpolation may need the value next to it
+        F.array(*[F.max(F.when(v < lo[i], v)) for i in each]).alias("_prev"),
+        F.array(*[F.min(F.when(v > hi[i], v)) for i in each]).alias("_next"))
+    between = F.array_compact(F.array(*[F.when((v >= lo[i]) & (v <= hi[i]), F.lit(i)) for i in each]))
+    inside = met.select(*keyed, "_v", F.explode(between).alias("_i")).groupBy(*keyed, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*keyed, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
+    ranked = _beside(inside, counts, keys, ["_n", "_below", "_prev", "_next"]).withColumn("_start", F.get("_below", F.col("_i")) + F.col("_before"))
+
+    out = []
+    for i, (name, p) in enumerate(probs.items()):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+
+        def at(rank: Column, beside: str, i: int = i) -> Column:
+            here = (F.col("_i") == i) & (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_c"))
+            found = F.coalesce(F.max(F.when(here, v)), F.first(F.col(beside)[i]))
+            return F.when(found.isNull(), F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")).otherwise(found)
+
+        low, high = at(F.floor(pos), "_prev"), at(F.ceil(pos), "_next")
+        out.append((low + (high - low) * F.first(pos - F.floor(pos))).alias(name))
+    got = ranked.groupBy(*keyed).agg(*out)
+    return got if keys else got.drop("_all")
+
+
+def _beside(rows: DataFrame, per_group: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows with columns of their group; without keys these are scalars, as a join on a constant gathers everything."""
     if keys:
-        binned = counted.join(span, keyed)
-    else:  # one group: its span is a scalar, a join on a constant would gather everything
-        whole = span.select(F.struct("_lo", "_hi", "_n", "_pos")).scalar()
-        binned = counted.withColumn("_span", whole).select("_all", "_v", "_c", "_span.*")
-    binned = binned.withColumn("_bin", bin_no.cast("int"))
-    histogram = binned.groupBy(*keyed, "_bin").agg(F.sum("_c").alias("_bc"))
-    # at most ``bins`` rows per group from here on
-    histogram = (histogram.join(span.select(*keyed, F.col("_pos").alias("_bpos")), keyed) if keys
-                 else histogram.withColumn("_bpos", whole["_pos"]))
-    upto = Window.partitionBy(*keyed).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    histogram = histogram.withColumn("_before", F.coalesce(F.sum("_bc").over(upto), F.lit(0)))
-
-    def ranks(before, count):
-        wanted = F.flatten(F.transform(F.col("_bpos"), lambda p: F.array(F.floor(p), F.ceil(p))))
-        return F.filter(F.array_distinct(wanted), lambda r: (r >= before) & (r < before + count))
-
-    needed = (
-        histogram.withColumn("_ranks", ranks(F.col("_before"), F.col("_bc"))).where(F.size("_ranks") > 0)
-        .select(*keyed, "_bin", "_before", "_bpos")
-    )
-    inside = Window.partitionBy(*keyed, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    hits = (
-        binned.select(*keyed, "_bin", "_v", "_c").join(needed, [*keyed, "_bin"])
-        .withColumn("_start", F.col("_before") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
-        .withColumn("_ranks", ranks(F.col("_start"), F.col("_c")))
-        .where(F.size("_ranks") > 0)
-        .select(*keyed, "_bpos", "_v", F.explode("_ranks").alias("_rank"))
-    )
-    # at most two ranks per probability reach this buffer
-    found = hits.groupBy(*keyed).agg(
-        F.first("_bpos").alias("_pos"), F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
-    out = [F.col(k) for k in keys]
-    for i, name in enumerate(probs):
-        pos = F.col("_pos")[i]
-        low, high = F.col("_at")[F.floor(pos)], F.col("_at")[F.ceil(pos)]
-        out.append((low + (high - low) * (pos - F.floor(pos))).alias(name))
-    return found.select(*out)
+        return rows.join(per_group, keys)
+    whole = per_group.select(F.struct(*columns)).scalar()
+    return rows.withColumn("_whole", whole).select("*", *[F.col(f"_whole.{c}").alias(c) for c in columns]).drop("_whole")
 
 
 def describe_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -108,7 +103,3 @@ def profile(df: DataFrame, value: str = "avg_temp_c") -> DataFrame:
     ends = exact_quantiles(df, [], value, {"p5": 0.05, "p95": 0.95})
     return moments.withColumn("_q", ends.select(F.struct("p5", "p95")).scalar()).select(
         "samples", "mean", "std", "min", "max", "_q.p5", "_q.p95")
-
-
-def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: round_half_up(c, digits) for c in columns})
