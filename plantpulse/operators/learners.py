@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantpulse import constants as C
@@ -36,13 +36,14 @@ def alert_classifier(stats: DataFrame, threshold: float = C.ALERT_THRESHOLD_C, s
     classes = table.agg(F.count_distinct("label")).first()[0]
     if classes < 2:
         raise ValueError("both classes are needed: widen the time range")
-    coded = StringIndexer(inputCol="device_id", outputCol="device_enc", stringOrderType="alphabetAsc").fit(table).transform(table)
-    # a plain number, as categories would limit the number of devices
-    coded = coded.withColumn("device_enc", F.col("device_enc").alias("device_enc", metadata={}))
+    # the device's place in the alphabet, as a plain number: categories would limit the number of devices. One row
+    # per device is ranked; no list of devices comes to the driver or goes with the model
+    codes = table.select("device_id").distinct().withColumn("device_enc", (F.row_number().over(Window.orderBy("device_id")) - 1).cast("double"))
+    coded = table.join(codes, "device_id")
     rows = VectorAssembler(inputCols=list(ALERT_FEATURES), outputCol="features").transform(coded).withColumn(
         "in_test", F.pmod(F.xxhash64("device_id", F.col(TS).cast("string"), F.lit(seed)), F.lit(100)) >= 80)
     model = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=n_trees, seed=seed, maxBins=64).fit(
-        rows.where(~F.col("in_test")))
+        rows.where(~F.col("in_test"))).copy()  # a copy leaves the training summary, and with it the session, behind
     spark = stats.sparkSession
     scored = model.transform(rows).select(
         "device_id", TS, "avg_temp_c", "label", F.col("prediction").cast("int").alias("prediction"),

@@ -107,6 +107,25 @@ def test_quantiles_match_numpy(spark):
     assert everything == pytest.approx(np.quantile(np.concatenate(list(values.values())), 0.3))
 
 
+def test_quantiles_of_small_groups_and_coarse_sketches(spark):
+    rng = np.random.default_rng(4)
+    small = {f"s{n}": rng.normal(size=n).round(1) for n in range(1, 25)}
+    probs = {f"p{int(p * 1000)}": p for p in (0.0, 0.1, 0.25, 1 / 3, 0.5, 0.9, 0.975, 1.0)}
+    large = {"many": rng.normal(size=20_000), "outlier": np.concatenate([rng.random(20_000), [1e12]]), "ties": rng.integers(0, 3, 5000).astype(float)}
+    for values, accuracy in ((small, quantiles.ACCURACY), (large, 100)):
+        df = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs], "k STRING, v DOUBLE").repartition(5)
+        for r in quantiles.exact_quantiles(df, ["k"], "v", probs, accuracy).collect():
+            np.testing.assert_allclose([r[p] for p in probs], np.quantile(values[r.k], list(probs.values())), rtol=1e-12, atol=1e-12, err_msg=r.k)
+
+
+def test_only_brackets_are_looked_at(spark):
+    """An outlier widens no bin: a task sees the rows around the ranks only."""
+    df = spark.range(200_000).select(F.rand(3).alias("v")).union(spark.sql("SELECT 1e12D AS v")).withColumn("k", F.lit("a"))
+    got = quantiles.exact_quantiles(df, ["k"], "v", {"q": 0.5})
+    plan = got._jdf.queryExecution().executedPlan()
+    assert 0.49 < got.first().q < 0.51 and "Window" in plan.toString()
+
+
 def test_histogram_counts_every_row(stats, series):
     got = quantiles.histogram(stats, "avg_temp_c", 20, "device_id").toPandas()
     assert got["n"].sum() == len(series) and got["bin"].between(0, 19).all()

@@ -118,3 +118,12 @@ def test_score_labels(rows):
     assert [r.i for r in got] == [
         "Temperatura excepcionalmente ALTA (95.0°C > p95=90.0°C)", "Temperatura normal (70.0°C, media=70.0°C)",
         "Temperatura excepcionalmente BAJA (10.0°C < p5=50.0°C)", "Comportamiento anómalo detectado (score=-0.500)"]
+
+
+def test_round_even_is_the_rounding_of_the_stored_value(rows):
+    values = [0.125, 0.375, 2.675, 1.115, 1.005, -0.125, 0.0, 1e18, -1e18, 123456.789, 1e-9, 99.995, 70.0]
+    got = rows([(v,) for v in values], "x DOUBLE").select("x", fn.round_even("x", 2).alias("r")).collect()
+    assert [r.r for r in got] == [round(v, 2) for v in values]
+    odd = rows([(float("nan"),), (float("inf"),), (None,)], "x DOUBLE").select(fn.round_even("x", 2).alias("a"), fn.round_half_up("x", 2).alias("b")).collect()
+    assert math.isnan(odd[0].a) and math.isnan(odd[0].b) and odd[1].a == odd[1].b == math.inf and odd[2].a is odd[2].b is None
+    assert rows([(1e18,)], "x DOUBLE").select(fn.round_half_up("x", 4).alias("r")).first().r == 1e18

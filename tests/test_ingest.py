@@ -62,6 +62,15 @@ def test_forwarded_keeps_signed_text(rows):
     assert '"temperature": 75.0' in record.value
 
 
+def test_forwarded_changes_only_its_own_unit(rows):
+    text = '{"device_id":"m","meta":{"unit":"c"},"temperature":70,"unit":"k","unit":"f","ts":"x","big":12345678901234567890}'
+    done = ingest.ingest(rows([(text, 5)], "value STRING, n INT"), "t", 1, F.lit(9))
+    record = ingest.forwarded(done, keep=("n",)).first()
+    assert record.n == 5 and json.loads(record.value) == {
+        "device_id": "m", "meta": {"unit": "c"}, "temperature": 70, "unit": "F", "ts": "x", "big": 12345678901234567890,
+        "_mqtt_topic": "t", "_mqtt_qos": 1, "_ingested_at": 9}
+
+
 def test_bridge_check(rows):
     df = rows([(json.dumps(BASE),), ('{"unit": 1}',), ("[1]",)], "value STRING")
     got = ingest.bridge_check(df, "t").collect()
@@ -134,6 +143,14 @@ def test_parse_topic_tolerates_anything(rows):
     assert got[1]._ingested_at is None
 
 
+def test_routed_and_tagged_records_name_their_topic(rows):
+    routed = rows([("m1", 1.5, True, None), (None, None, False, "r")], "device_id STRING, t DOUBLE, valid BOOLEAN, reason STRING")
+    got = [tuple(r) for r in topics.routed_records(routed, ["device_id", "t"], ["t", "reason"]).collect()]
+    assert got == [("sensors_clean", "m1", '{"device_id":"m1","t":1.5}'), ("sensors_invalid", "unknown", '{"reason":"r"}')]
+    tagged = rows([("m1", "ok", "{}"), ("m2", "dlq", "x")], "key STRING, tag STRING, payload STRING")
+    assert [tuple(r) for r in topics.tagged_records(tagged).collect()] == [("sensors_verified", "m1", "{}"), ("sensors_invalid", "m2", "x")]
+
+
 def test_topic_sample_skips_undecodable(rows):
     df = rows([(i, "{bad" if i == 1 else '{"a":1}') for i in range(10)], "offset BIGINT, value STRING")
     assert sorted(r.offset for r in quality.topic_sample(df, 3).collect()) == [0, 2]

@@ -147,12 +147,27 @@ def test_verifier_keeps_state_over_batches_and_restarts(spark, tmp_path):
     assert sorted(json.loads(r.payload)["raw"] for r in rows if r.key == "unknown") == ["[1]", "{broken"]
 
 
-@pytest.mark.parametrize("text, tag", [("{bad", "dlq"), ('{"device_id": "m"}', "dlq"), ('"x"', "dlq")])
+@pytest.mark.parametrize("text, tag", [("{bad", "dlq"), (None, "dlq"), ('{"device_id": "m"}', "dlq"), ('"x"', "dlq")])
 def test_check_never_raises(text, tag):
     got = verifier.check(text, C.GENESIS_HASH)
     assert got[0] == tag and got[2] == C.GENESIS_HASH
 
 
+def test_dead_letters_keep_the_whole_text():
+    text = "x" * 2000
+    assert json.loads(verifier.check(text, C.GENESIS_HASH)[1])["raw"] == text
+
+
+def test_null_records_reach_the_dead_letters(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(1, None), (2, "{bad"), (3, None)], "offset LONG, value STRING").write.parquet(path)
+    stream = spark.readStream.schema("offset LONG, value STRING").parquet(path)
+    query = pipelines.tagged_stream(verifier.verify_stream(stream), str(tmp_path / "out"), str(tmp_path / "ck"))
+    query.awaitTermination()
+    rows = spark.read.schema("key STRING, seq LONG, tag STRING, payload STRING").json(str(tmp_path / "out")).collect()
+    assert sorted((r.key, r.seq, r.tag) for r in rows) == [("unknown", n, "dlq") for n in (1, 2, 3)]
+
+
 def test_missing_prev_means_genesis():
     import hashlib
 
