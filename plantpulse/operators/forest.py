@@ -137,6 +137,11 @@ class ForestModel:
             "interpretation": interpret(value, "is_anomaly", "score", p["mean"], p["p5"], p["p95"]),
         })
 
+    def predict(self, spark: SparkSession, value: float, device_id: str) -> DataFrame:
+        """Score of one reading of a device: one row."""
+        reading = spark.createDataFrame([(device_id, float(value))], "device_id STRING, temperature_c DOUBLE")
+        return self.score(reading, "temperature_c")
+
     def sweep(self, spark: SparkSession, low: int = 40, high: int = 100, step: int = 5) -> DataFrame:
         """Response curve over a range of temperatures."""
         return self.score(spark.range(low, high + 1, step).select(F.col("id").cast("double").alias("avg_temp_c")))

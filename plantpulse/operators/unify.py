@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plantpulse import constants as C
 from plantpulse.functions import parse_ts, partition_label, round_half_up
+from plantpulse.operators.fleet import top_n
 
 
 def hot_side(stats: DataFrame) -> DataFrame:
@@ -50,6 +51,11 @@ def source_counts(unified: DataFrame) -> DataFrame:
     return unified.groupBy("source").agg(F.count(F.lit(1)).alias("registros"))
 
 
+def latest_of_both(unified: DataFrame, n: int = 5000) -> DataFrame:
+    """Newest ``n`` rows of the union; rows of one time are in order of device, source and value."""
+    return top_n(unified, n, F.col("ts").desc(), F.col("device_id"), F.col("source"), F.col("value"))
+
+
 def source_share(unified: DataFrame) -> DataFrame:
     hot = F.count_if(F.col("source") == C.SOURCE_HOT)
     cold = F.count_if(F.col("source") == C.SOURCE_COLD)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantpulse import constants as C
-from plantpulse.operators import fleet, quantiles, reshape, windows
+from plantpulse.operators import fleet, quantiles, reshape, unify, windows
 from plantpulse.plans.fixtures import ANCHOR, half_up, r6
 from plantpulse.plans.registry import query
 
@@ -312,6 +312,12 @@ def _(t):
     return fleet.latest_n(t.clean, 5000, "event_time").select("event_id", "device_id", "temperature_c")
 
 
+@query("top3_latest_of_union", f"""
+SELECT device_id, {r6('value')} AS value, ts, source FROM unified ORDER BY unified.ts DESC, device_id, source, unified.value LIMIT 5000""")
+def _(t):
+    return unify.latest_of_both(t.unified)
+
+
 @query("top4_device_top5", f"""
 SELECT event_id, ts, {r6('c.temperature_c')} AS temperature_c FROM sensors_clean c WHERE device_id = 'machine-001'
 AND c.temperature_c > 80 ORDER BY c.temperature_c DESC, event_id DESC LIMIT 5""")

@@ -110,6 +110,14 @@ def _(t):
     return _forest(t).score(t.stats).select("device_id", "window_start", "score", "is_anomaly", "failure_prob", "interpretation")
 
 
+@query("ml5_scored_readings", "SELECT device_id, count(*) AS lecturas FROM machine_stats WHERE avg_temp_c IS NOT NULL GROUP BY device_id")
+def _(t):
+    # every reading gets a score between -1 and 0, and the flag is the score below the threshold of the model
+    model = _forest(t)
+    scored = model.score(t.stats).where(F.col("score").between(-1, 0) & (F.col("is_anomaly") == (F.col("score") < model.offset)))
+    return quality.anomaly_summary(scored).select("device_id", "lecturas")
+
+
 @query("ml5_anomaly_report")
 def _(t):
     return quality.anomaly_summary(_forest(t).score(t.stats))
@@ -132,11 +140,25 @@ def _(t):
     return learners.alert_classifier(t.stats)["scored"]
 
 
+@query("ml9_scored_rows", f"""
+SELECT device_id, window_start, {r6('avg_temp_c')} AS avg_temp_c, CAST(CASE WHEN avg_temp_c > 80 THEN 1 ELSE 0 END AS INTEGER) AS label FROM machine_stats""")
+def _(t):
+    return learners.alert_classifier(t.stats)["scored"].select("device_id", "window_start", "avg_temp_c", "label")
+
+
 @query("ml9_classifier_metrics")
 def _(t):
     return learners.alert_classifier(t.stats)["metrics"]
 
 
+@query("ml10_clustered_features", f"""
+SELECT device_id, {r6('avg(avg_temp_c)')} AS mean_c, {r6('coalesce(stddev_samp(avg_temp_c), 0)')} AS std_c, {r6('max(avg_temp_c)')} AS max_c,
+  {r6('avg(CASE WHEN avg_temp_c > 80 THEN 1.0::DOUBLE ELSE 0 END)')} AS alert_rate, {r6('quantile_cont(avg_temp_c, 0.9)')} AS p90_c
+FROM machine_stats GROUP BY device_id""")
+def _(t):
+    return learners.cluster_devices(t.stats)["assignments"].drop("cluster")
+
+
 @query("ml10_device_clusters")
 def _(t):
     return learners.cluster_devices(t.stats)["assignments"]

@@ -195,6 +195,17 @@ def _(t):
     return lake.lake_inventory(t.spark, _written_lake(t)).drop("path", "modified")
 
 
+@query("src9_lake_hours_listed", "SELECT DISTINCT year, month, day, hour FROM lake_clean")
+def _(t):
+    return lake.lake_inventory(t.spark, _written_lake(t)).where("size_kb > 0").select("year", "month", "day", "hour").distinct()
+
+
+@query("agg14_hours_with_files", "SELECT day, count(DISTINCT hour) AS hours, bool_and(true) AS filled FROM lake_clean GROUP BY day")
+def _(t):
+    hours = lake.lake_inventory_by_hour(lake.lake_inventory(t.spark, _written_lake(t)))
+    return hours.groupBy("day").agg(F.count(F.lit(1)).alias("hours"), F.bool_and((F.col("archivos") > 0) & (F.col("total_kb") > 0)).alias("filled"))
+
+
 @query("agg14_lake_files_by_hour")
 def _(t):
     return lake.lake_inventory_by_hour(lake.lake_inventory(t.spark, _written_lake(t)))
