@@ -10,6 +10,10 @@ from plantpulse.sources import lake, topics
 from plantpulse.streaming import pipelines, verifier
 
 
+#: Files of one part of a staged topic, and files that a micro-batch reads.
+FILES = 4
+
+
 def _staged(t, df, label: str):
     """Message text as files, read back as a stream."""
     path = t.folder(label)
@@ -18,11 +22,14 @@ def _staged(t, df, label: str):
 
 
 def _clean_stream(t):
-    """The clean rows as a stream with typed columns."""
+    """The clean rows as a stream with typed columns, in three micro-batches in order of time."""
     path = t.folder("clean-topic")
-    t.clean.drop("event_id", "event_time").select(F.to_json(F.struct("*")).alias("value")).write.text(path)
-    # one batch: the files are not in event order, so later batches would count as late
-    return topics.clean_topic(topics.read_topic(t.spark, path, streaming=True, max_files=None))
+    ends = t.clean.agg(F.min("event_id").alias("lo"), (F.max("event_id") + 1).alias("hi")).first()
+    third = F.floor((F.col("event_id") - ends["lo"]) * 3 / (ends["hi"] - ends["lo"])) if ends["hi"] else F.lit(0)
+    for part in range(3):
+        rows = t.clean.where(third == part).drop("event_id", "event_time").select(F.to_json(F.struct("*")).alias("value"))
+        rows.repartition(FILES).write.mode("append").text(path)
+    return topics.clean_topic(topics.read_topic(t.spark, path, streaming=True, max_files=FILES))
 
 
 @query("str1_str2_stream_windows", f"""
@@ -44,13 +51,12 @@ def _(t):
 
 
 @query("str8_snk1_stream_routing", """
-SELECT CASE WHEN valid THEN 'clean' ELSE 'invalid' END AS route, coalesce(reason, '') AS reason, count(*) AS n FROM sensors_routed GROUP BY ALL""")
+SELECT CASE WHEN valid THEN 'clean' ELSE 'invalid' END AS route, device_id, ts, reason FROM sensors_routed""")
 def _(t):
     out = t.folder("routed")
     records = _staged(t, t.messages.select("value"), "raw-topic")
     pipelines.normalize_stream(records, out, t.folder("ck")).awaitTermination()
-    rows = t.spark.read.schema("reason STRING, route STRING").json(out)
-    return rows.groupBy("route", F.coalesce("reason", F.lit("")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return t.spark.read.schema("route STRING, device_id STRING, ts STRING, reason STRING").json(out).drop("batch")
 
 
 @query("str11_restart_from_checkpoint", "SELECT valid, count(*) AS n FROM sensors_routed GROUP BY valid")
@@ -75,22 +81,22 @@ def _(t):
     return t.spark.read.parquet(out).groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("str10_stream_points", "SELECT count(*) AS n, min(CAST(epoch(event_time) AS BIGINT)) AS first_s FROM sensors_clean")
+@query("str10_stream_points", """
+SELECT concat('sensor_reading,device_id=', device_id, ',unit_original=', replace(unit_original, ' ', '\\ '), ' temperature_c=',
+  CAST(temperature_c AS VARCHAR), ',ingested_at=', _ingested_at, 'i ', CAST(epoch(event_time) AS BIGINT)) AS value FROM sensors_clean""")
 def _(t):
     out = t.folder("points")
     pipelines.point_stream(_clean_stream(t), out, t.folder("ck"), interval=None).awaitTermination()
-    lines = t.spark.read.text(out)
-    return lines.agg(F.count(F.lit(1)).alias("n"),
-                     F.min(F.element_at(F.split("value", " "), -1).cast("bigint")).alias("first_s"))
+    return t.spark.read.text(out).select("value")
 
 
 @query("str9_snk6_stream_lake", """
-SELECT year, month, day, hour, count(*) AS n FROM lake_clean GROUP BY ALL""")
+SELECT device_id, unit_original, ts, _ingested_at, year, month, day, hour FROM lake_clean""")
 def _(t):
     out = t.folder("lake")
     clean = topics.with_event_time(_clean_stream(t)).drop("_corrupt")
     lake.stream_lake(clean, out, t.folder("ck"), interval=None).awaitTermination()
-    return lake.read_lake(t.spark, out).groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+    return lake.read_lake(t.spark, out).select("device_id", "unit_original", "ts", "_ingested_at", "year", "month", "day", "hour")
 
 
 @query("str5_str6_stream_verifier", """
