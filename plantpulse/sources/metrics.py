@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +60,21 @@ def post_lines(lines: DataFrame, send: Callable[[list[str]], None], batch: int =
     lines.foreachPartition(deliver)
 
 
+def failed_deliveries(lines: DataFrame, send: Callable[[list[str]], None], batch: int = 5000) -> DataFrame:
+    """Deliver lines as ``post_lines`` does, but go on after an error: the rows are the lines of failed calls and why."""
+
+    def deliver(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            values = frame["value"].tolist()
+            for at in range(0, len(values), batch):
+                try:
+                    send(values[at : at + batch])
+                except Exception as error:  # noqa: BLE001  (whatever the client raises is a failed delivery)
+                    yield pd.DataFrame({"value": values[at : at + batch], "error": f"{type(error).__name__}: {error}"})
+
+    return lines.select("value").mapInPandas(deliver, "value STRING, error STRING")
+
+
 def write_routed(routed: DataFrame, path: str, mode: str = "append") -> None:
     """Both sides of a routed frame in one pass: a folder per side below ``path``."""
     routed.withColumn("route", F.when(F.col("valid"), "clean").otherwise("invalid")).write.mode(mode).partitionBy(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plantpulse import constants as C
 from plantpulse.operators.routing import route
 from plantpulse.operators.windows import window_stats
-from plantpulse.sources.metrics import machine_stats_lines, reading_lines, write_routed, write_tagged
+from plantpulse.sources.metrics import failed_deliveries, machine_stats_lines, reading_lines, write_routed, write_tagged
 from plantpulse.sources.topics import parse_topic, with_event_time
 
 
@@ -53,6 +53,16 @@ def metric_stream(clean: DataFrame, path: str, checkpoint: str, interval: str |
                   interval)
 
 
+def delivery_stream(clean: DataFrame, send: Callable[[list[str]], None], failed: str, checkpoint: str,
+                    interval: str | None = None) -> StreamingQuery:
+    """Window statistics sent by ``send`` as line-protocol text; lines it failed on are kept below ``failed`` with the error.
+
+    A failed call is a row there, not a failed job. A replayed micro-batch sends its lines again.
+    """
+    return _start(stats_stream(clean), lambda b, p: failed_deliveries(machine_stats_lines(b), send).write.mode("overwrite").json(p),
+                  failed, checkpoint, interval)
+
+
 def point_stream(clean: DataFrame, path: str, checkpoint: str, interval: str | None = C.POINT_FLUSH) -> StreamingQuery:
     """Readings as line-protocol text; batch size is set by the source's per-trigger limit."""
     timed = with_event_time(clean)

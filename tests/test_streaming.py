@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plantpulse import constants as C
 from plantpulse.operators import ingest
-from plantpulse.sources import lake, topics
+from plantpulse.sources import lake, metrics, topics
 from plantpulse.streaming import pipelines, verifier
 from tests.test_chain import signed
 
@@ -76,6 +76,21 @@ def test_metric_lines_stream(spark, tmp_path):
         f"machine_stats,device_id=m1 avg_temp_c=90.0000,max_temp_c=90.0000,count=1i,alert=1i {BASE}"]
 
 
+def test_failed_deliveries_are_kept(spark, tmp_path):
+    lines = spark.createDataFrame([(f"m,d=a v={i} {i}",) for i in range(20)], "value STRING").coalesce(1)
+    sent = str(tmp_path / "sent")
+
+    def send(values):
+        if any("v=7 " in v for v in values):
+            raise OSError("refused")
+        with open(sent, "a") as out:
+            out.writelines(f"{v}\n" for v in values)
+
+    failed = metrics.failed_deliveries(lines, send, batch=4).collect()
+    assert [r.value.split()[-1] for r in failed] == ["4", "5", "6", "7"] and {r.error for r in failed} == {"OSError: refused"}
+    assert len(open(sent).readlines()) == 16
+
+
 def test_every_message_is_routed_once(spark, tmp_path):
     src = tmp_path / "in"
     good = {"device_id": "m", "temperature": 75, "unit": "C", "ts": "2026-03-11T00:00:00Z", "_ingested_at": 1}
