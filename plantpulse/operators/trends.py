@@ -105,6 +105,13 @@ def pairwise_corr(stats: DataFrame, devices_per_block: int = 256, slice_seconds:
     return total.select("machine_a", "machine_b", F.col("n").cast("bigint").alias("n"), corr.alias("corr"))
 
 
+def corr_with(stats: DataFrame, device: str) -> DataFrame:
+    """Correlation of one device with each other one: as many rows as devices, where all pairs are too many."""
+    own = stats.where(F.col("device_id") == device).select("window_start", F.col("avg_temp_c").alias("_own"))
+    met = stats.where(F.col("device_id") != device).join(own, "window_start")
+    return met.groupBy("device_id").agg(F.count(F.lit(1)).alias("n"), F.corr("avg_temp_c", "_own").alias("corr"))
+
+
 def ranked_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select("machine_a", "machine_b", round_half_up("corr", 3).alias("corr")).orderBy(
         F.col("corr").desc(), "machine_a", "machine_b")

@@ -27,6 +27,13 @@ def _(t):
     return trends.pairwise_corr(t.stats)
 
 
+@query("ml2_corr_with_device", f"""
+SELECT a.device_id, count(*) AS n, {r6('corr(a.avg_temp_c, b.avg_temp_c)')} AS corr FROM machine_stats a JOIN machine_stats b
+  ON a.window_start = b.window_start AND b.device_id = 'machine-002' AND a.device_id <> 'machine-002' GROUP BY 1""")
+def _(t):
+    return trends.corr_with(t.stats, "machine-002")
+
+
 @query("top5_ml2_ranked_pairs", f"""
 SELECT a.device_id AS machine_a, b.device_id AS machine_b, {half_up('corr(a.avg_temp_c, b.avg_temp_c)', 3)} AS corr
 FROM machine_stats a JOIN machine_stats b ON a.window_start = b.window_start AND a.device_id < b.device_id GROUP BY 1, 2""")
