@@ -24,7 +24,7 @@ BANDS = HASHES // ROWS
 TOLERANCE = 1e-9
 #: MinHash values compared between two looks at the posterior.
 STEP = 16
-#: Estimated similarity to a bucket's first class from which a class is dealt with in that class's cluster.
+#: Estimated similarity to a bucket's leading class from which a class is dealt with in that class's cluster.
 ATTACH = 0.5
 #: Classes, and shingles, of one side of a block.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
@@ -101,7 +101,7 @@ def _alike(least: float):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("sketch", "other"))
             good = (a == b).mean(axis=1) >= least
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("class", "leader")], names=["class", "leader"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("class", "pop", "leader")], names=["class", "pop", "leader"])
 
     return run
 
@@ -264,8 +264,8 @@ def near_duplicates(
     """One row per document: id, text_fp (a hash of the text), class_id, n_links, n_docs and representative.
 
     Texts with the same set of shingles are one class, so copies cost no pairs. Classes that share a band of MinHash values
-    are candidates. To compare each pair once, however many bands it shares, a class joins the cluster of the first
-    class of a bucket that it resembles; clusters are compared within themselves, buckets only between clusters. Both
+    are candidates. To compare each pair once, however many bands it shares, a class joins the cluster of the class
+    that leads one of its buckets and that it resembles; clusters are compared within themselves, buckets only between clusters. Both
     are cut into blocks of bounded size, and each pair of blocks is one group: it compares MinHash values step by
     step, drops pairs whose posterior probability of reaching ``similarity`` is below ``tolerance``, verifies the rest on
     the sets of 64-bit shingle hashes, and gives back a count and a root per class, not the pairs. Connected classes make
@@ -287,15 +287,22 @@ def near_duplicates(
 
     least = fewest_matches(similarity, tolerance)
     bands = classes.select("class", "sketch").mapInArrow(_bands, "band int, key long, class binary")
-    buckets = bands.groupBy("band", "key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    buckets = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = cut(bands.join(buckets, ["band", "key"]), "buckets")
+    # the class that meets most others leads a bucket: in a large family it is close to all, so few links lead elsewhere
+    popular = shared.groupBy("class").agg(F.sum("n").alias("pop"))
+    ranked = shared.join(popular, "class")
+    top = ranked.groupBy("band", "key").agg(F.max(F.struct("pop", "class")).alias("top"))
+    star = ranked.join(top, ["band", "key"]).filter(F.col("class") != F.col("top.class"))
+    star = star.select("class", F.col("top.pop").alias("pop"), F.col("top.class").alias("leader")).distinct()
     sketches = classes.select("class", "sketch")
-    star = shared.filter(F.col("class") != F.col("leader")).select("class", "leader").distinct()
     star = star.join(sketches, "class").join(sketches.select(F.col("class").alias("leader"), F.col("sketch").alias("other")), "leader")
-    attached = star.mapInArrow(_alike(ATTACH), "class binary, leader binary").groupBy("class").agg(F.min("leader").alias("leader"))
-    candidates = shared.select("class").distinct()
-    cluster = F.least("class", F.coalesce("leader", "class")).alias("cluster")
-    clusters = cut(candidates.join(attached, "class", "left").select("class", cluster).join(classes, "class"), "clusters")
+    attached = star.mapInArrow(_alike(ATTACH), "class binary, pop long, leader binary").groupBy("class").agg(F.max(F.struct("pop", "leader")).alias("best"))
+    attached = cut(attached.select("class", "best.leader"), "attached")
+    further = attached.select(F.col("class").alias("leader"), F.col("leader").alias("further"))
+    attached = attached.join(further, "leader", "left").select("class", F.coalesce("further", "leader").alias("leader"))
+    cluster = F.coalesce("leader", "class").alias("cluster")
+    clusters = cut(popular.join(attached, "class", "left").select("class", cluster).join(classes, "class"), "clusters")
 
     between = shared.select("band", "key", "class").join(clusters.select("class", "cluster"), "class")
     mixed_buckets = between.groupBy("band", "key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).filter("lo < hi").select("band", "key")
