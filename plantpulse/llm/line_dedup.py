@@ -38,18 +38,18 @@ def line_dedup(
     lines = docs.select(*same, leaf_run(leaf_runs).alias("_run"), F.posexplode(F.split(text, "\n", -1)).alias("_pos", "_line"))
     keyed = lines.withColumn("_key", line_key(F.col("_line"))).filter(F.length("_key") >= min_length)
     hashed = cut(keyed.select("_id", "_fp", "_pos", "_run", F.xxhash64("_key").alias("_h"), F.xxhash64(F.lit(1), "_key").alias("_g")), "line-hashes")
-    # runs of distinct (key, document); null identifiers sort last and count as one document
-    held = hashed.select("_run", "_h", "_g", "_id").distinct() if max_documents > 1 else hashed
-    if max_documents > 1:
-        held = held.select("_h", "_g", "_id", F.lit(1).alias("one"), F.pmod(F.xxhash64("_id"), F.lit(leaf_runs)).cast("int").alias("_run")).distinct()
-        totals = {"_first": (F.min("_id"), F.min), "_n": (F.count(F.lit(1)), F.sum)}
-        many = F.col("_n") > max_documents
-        best = merged_totals(held, "_run", ["_h", "_g"], totals, many, leaf_runs, fan_in)
-        hashed = hashed.withColumn("_run", F.pmod(F.xxhash64("_id"), F.lit(leaf_runs)).cast("int"))
-    else:
+    if max_documents == 1:
+        # a key has two documents when its first and last one differ; null identifiers are one document, the last
+        held = hashed
         totals = {"_first": (F.min("_id"), F.min), "_last": (F.max("_id"), F.max), "_none": (F.max(F.col("_id").isNull()), F.max)}
         many = (F.col("_first") < F.col("_last")) | (F.col("_none") & F.col("_first").isNotNull())
-        best = merged_totals(held, "_run", ["_h", "_g"], totals, many, leaf_runs, fan_in)
+    else:
+        # a document's rows belong to one run, so runs count each document once
+        hashed = hashed.withColumn("_run", F.pmod(F.xxhash64("_id"), F.lit(leaf_runs)).cast("int"))
+        held = hashed.select("_run", "_h", "_g", "_id").distinct()
+        totals = {"_first": (F.min("_id"), F.min), "_n": (F.count(F.lit(1)), F.sum)}
+        many = F.col("_n") > max_documents
+    best = merged_totals(held, "_run", ["_h", "_g"], totals, many, leaf_runs, fan_in)
     gone = hashed.join(best, ["_run", "_h", "_g"]).filter(~F.col("_id").eqNullSafe(F.col("_first")))
     dropped = gone.groupBy("_id", "_fp").agg(F.collect_set("_pos").alias("_gone"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
