@@ -16,7 +16,7 @@ from plantpulse.llm.packing import pack
 from plantpulse.llm.pii import find_pii, pii_digest
 from plantpulse.llm.secrets import scan_secrets, secret_digest
 from plantpulse.llm.text import UPPER, hex_sha256
-from plantpulse.llm.token_shards import read_shards, write_shards
+from plantpulse.llm.token_shards import read_slots, write_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,7 +82,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_token_shards")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, index = write_shards(table(spark, sf_dir, "documents"))
-    return index.join(read_shards(index, folder).drop("ids"), "slot")
+    return read_slots(index, folder, with_ids=False)
 
 
 @query("op4_best_fit_packing")

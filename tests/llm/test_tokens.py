@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from plantpulse.llm.packing import pack, piece_bounds, sweep
-from plantpulse.llm.token_shards import feistel, read_shards, shard_name, write_shards
+from plantpulse.llm.token_shards import feistel, read_slots, shard_name, write_shards
 from plantpulse.llm.tokens import END, encoder, vocabulary_path
 
 TRICKY = [
@@ -108,17 +108,17 @@ def test_shards_round_trip(spark, rows, tmp_path):
     data = [(i if i % 9 else None, t) for i, t in enumerate(TRICKY)]
     docs = rows([(*d, 1) for d in data], "doc_id long, text string, slot int").repartition(3)
     folder, index = write_shards(docs, folder=str(tmp_path / "shards"), size=16, shard_slots=50)
-    index = {r.slot: r for r in index.collect()}
     wanted = [(i, p, [*reference_ids(t), END][s : s + n]) for i, t in data for p, (s, n) in enumerate(piece_bounds(len(reference_ids(t)) + 1, 16))]
-    assert sorted(index) == list(range(len(wanted)))
-    frame = spark.createDataFrame([(s, r.shard) for s, r in index.items()], "slot long, shard long")
-    got = {r.slot: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in read_shards(frame, folder, 16, 50).collect()}
+    read = read_slots(index, folder, 16, 50).collect()
+    assert sorted(r.slot for r in read) == list(range(len(wanted))) and all(r.shard == r.slot // 50 for r in read)
+    got = {r.slot: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in read}
+    assert all(r.length == len(got[r.slot]) and r.ids_crc32 == crc(got[r.slot]) for r in read)
     key = lambda x: (x[0] or -1, x[1], x[2])
-    assert sorted(((index[s].doc_id, index[s].piece, ids) for s, ids in got.items()), key=key) == sorted(wanted, key=key)
+    assert sorted(((r.doc_id, r.piece, got[r.slot]) for r in read), key=key) == sorted(wanted, key=key)
     # any slot is at its place by arithmetic, and a reader may go on from there
     raw = np.fromfile(shard_name(folder, 1), "<u2").reshape(-1, 16)
     assert raw[7][: len(got[57])].tolist() == got[57] and len(raw) == min(50, len(wanted) - 50)
-    assert {r.slot for r in read_shards(frame, folder, 16, 50, start=57).collect()} == set(range(57, len(wanted)))
+    assert {r.slot: r.ids_crc32 for r in read_slots(index.filter("slot >= 57"), folder, 16, 50, with_ids=False).collect()} == {s: crc(got[s]) for s in range(57, len(wanted))}
     # written again, the order is the same for the same key
     again, _ = write_shards(docs, folder=str(tmp_path / "again"), size=16, shard_slots=50)
     assert (tmp_path / "again/shard-000000001.bin").read_bytes() == (tmp_path / "shards/shard-000000001.bin").read_bytes()
@@ -126,4 +126,4 @@ def test_shards_round_trip(spark, rows, tmp_path):
 
 def test_no_documents_make_no_shards(spark, rows, tmp_path):
     folder, index = write_shards(rows([], "doc_id long, text string"), folder=str(tmp_path / "none"))
-    assert index.count() == 0 and read_shards(index, folder).count() == 0
+    assert index.count() == 0 and read_slots(index, folder).count() == 0
