@@ -50,6 +50,11 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return script, lower
 
 
+def letter_scripts() -> np.ndarray:
+    """Script number of every code point, 0 for no letter."""
+    return _tables()[0]
+
+
 @dataclass
 class Letters:
     """Words (runs of letters) of a group of texts, and a bucket for each letter with its neighbours in the word."""

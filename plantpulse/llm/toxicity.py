@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantpulse.llm.language_id import held_out, text_groups
+from plantpulse.llm.language_id import held_out, letter_scripts, text_groups
 
 #: Labelled rows the classifier is fitted on, at most; chosen by a hash of the identifier.
 LABELLED = 50_000
@@ -33,12 +34,18 @@ SIGN, DROP, REPEAT, KEEP = 1.0, 0.5, 0.3, 14.0
 
 _SIGNS = "0-9@$!|+€"
 SPACED = r"(?<![^\W_])[^\W\d_](?:[ .\-_*][^\W\d_]){2,}(?![^\W_])"
-LEETED = rf"(?<![^\W_@$!|+€])(?=[^\W_]*[{_SIGNS}])(?=[{_SIGNS}]*[^\W\d_])(?:[^\W_]|[@$!|+€](?=[^\s!|+$€]))+"
-#: A quick look for texts that have any of this: most have none.
-HINT = re.compile(rf"[^\W\d_][{_SIGNS}]+[^\W\d_]|(?<!\S)[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1|(?<![^\W_])[^\W\d_](?:[ .\-_*][^\W\d_]){{2}}(?![^\W_])")
+LEETED = rf"(?<![^\W_@$!|+€])(?=[^\W\d_]*[{_SIGNS}]+[^\W\d_])(?:[^\W_]|[@$!|+€](?=[^\s!|+$€]))+"
+#: A quick look for two single characters in a row, which spaced-out words have.
+SINGLES = re.compile(r"[ .\-_*]\w[ .\-_*]\w(?![^\W_])")
 REPEATED = r"(?<![^\W\d_])(?=([^\W\d_]*?)([^\W\d_])\2\2)[^\W\d_]+"
+SPACED_OUT = re.compile(SPACED)
+TRIPLE = re.compile(r"(.)\1\1")
+#: Around words; no letters and no signs that stand for one.
+RIM = ".,;:?\"'()[]"
 NOISY = re.compile(f"{SPACED}|{LEETED}|{REPEATED}")
 WORD = re.compile(r"[^\W\d_]+")
+#: Lengths of the beginnings of words that are features too.
+STEMS = (4, 5)
 
 
 def letter(c: str) -> int:
@@ -102,16 +109,37 @@ class Channel:
 
     def restore(self, text: str | None) -> str:
         """A lower-cased text with its noisy chunks restored."""
+        return NOISY.sub(lambda m: self.decode(m[0]), (text or "").lower())
+
+    def chunks(self, text: str | None) -> set[str]:
+        """The distinct strings between blanks of a text, and its spaced-out words: what is restored by itself."""
         low = (text or "").lower()
-        return NOISY.sub(lambda m: self.decode(m[0]), low) if HINT.search(low) else low
+        found = set(low.split())
+        for hint in SINGLES.finditer(low):
+            # the run starts with the character before the hint, or else with the hint's first one
+            at = hint.start()
+            if run := (at and SPACED_OUT.match(low, at - 1)) or SPACED_OUT.match(low, at + 1):
+                found.add(run[0])
+        return found
+
+    def words(self, chunk: str) -> list[str]:
+        """The words of a restored chunk."""
+        core = chunk.strip(RIM)
+        if core.isalpha() and not TRIPLE.search(core):
+            return [core]
+        return WORD.findall(self.restore(chunk))
+
+
+@cache
+def _letter_codes() -> np.ndarray:
+    code = np.where(letter_scripts() > 0, 27, 0)
+    code[:0x80] = 0
+    code[97:123] = code[65:91] = np.arange(1, 27)
+    return code
 
 
 def _letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    code = np.zeros(0x110000, np.int64)
-    for cp in range(0x80, 0x110000):
-        if chr(cp).isalpha():
-            code[cp] = 27
-    code[97:123] = code[65:91] = np.arange(1, 27)
+    code = _letter_codes()
     total = np.zeros(ALPHABET**3, np.int64)
     for batch in batches:
         for _, texts in text_groups(batch.column(0)):
@@ -139,10 +167,10 @@ def fit_channel(docs: DataFrame, text_col: str = "text") -> Channel:
     return Channel(-np.log(three))
 
 
-def features(restored: str) -> set[str]:
+def features(channel: Channel, text: str | None) -> set[str]:
     """Words of a restored text and their beginnings, which forms of one stem share."""
-    found = set(WORD.findall(restored))
-    return found | {f"{w[:4]}*" for w in found if len(w) >= 4} | {f"{w[:5]}*" for w in found if len(w) >= 5}
+    found = {w for chunk in channel.chunks(text) for w in channel.words(chunk)}
+    return found | {f"{w[:n]}*" for w in found for n in STEMS if len(w) >= n}
 
 
 def shaped(odds: np.ndarray) -> np.ndarray:
@@ -155,7 +183,7 @@ class ToxicityModel:
     channel: Channel
     odds: dict[str, float]  # of features, log odds of toxic documents
     weights: np.ndarray | None  # of the three largest odds of a text, and the constant; None without labels
-    memo: dict[str, float] = field(default_factory=dict)
+    memo: dict[str, list[float]] = field(default_factory=dict)  # of chunks, their words' odds above 0
 
     def __getstate__(self):
         return self.__dict__ | {"memo": {}}
@@ -166,12 +194,11 @@ class ToxicityModel:
         if len(memo) > 500_000:
             memo.clear()
         found = []
-        for w in set(WORD.findall(self.channel.restore(text))):
-            x = memo.get(w)
+        for chunk in self.channel.chunks(text):
+            x = memo.get(chunk)
             if x is None:
-                x = memo[w] = max(odds.get(w, 0.0), odds.get(f"{w[:4]}*", 0.0) if len(w) >= 4 else 0.0, odds.get(f"{w[:5]}*", 0.0) if len(w) >= 5 else 0.0)
-            if x:
-                found.append(x)
+                x = memo[chunk] = [o for w in self.channel.words(chunk) if (o := max(odds.get(w, 0.0), *(odds.get(f"{w[:n]}*", 0.0) for n in STEMS if len(w) >= n), 0.0))]
+            found += x
         return (sorted(found, reverse=True) + [0.0, 0.0, 0.0])[:3]
 
     def score(self, text: str | None) -> float:
@@ -193,7 +220,7 @@ def _feature_counts(sent):
             wanted = [r for r, i in enumerate(batch.column(0).to_pylist()) if i in labels and _fold(i)]
             rows = batch.take(pa.array(wanted, pa.int64()))
             for i, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                seen[labels[i]].update(features(channel.restore(text)))
+                seen[labels[i]].update(features(channel, text))
                 seen[labels[i]][""] += 1
         for toxic, counter in enumerate(seen):
             keys = list(counter)

@@ -139,3 +139,9 @@ def test_toxicity_of_empty_tables(spark, rows):
     assert [r.toxicity for r in toxicity.score_toxicity(docs, toxicity.fit(docs, labels)).collect()] == [0.0]
     none = rows([], DOCS)
     assert toxicity.score_toxicity(none, toxicity.fit(none, labels)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["a b c", "x s c u m y", "go s.c.u.m", "word s c u m", "1d10t. s c u m", "I a m so", "no one"])
+def test_chunks_hold_what_the_text_holds(channel, text):
+    words = {w for c in channel.chunks(text) for w in channel.words(c)}
+    assert {w for w in toxicity.WORD.findall(channel.restore(text)) if len(w) > 1} <= words
