@@ -23,6 +23,8 @@ PAD = 0xFFFF
 ROUNDS = 6
 #: Of the compression of sequences on their way; ids take a sixth less room than at the default level.
 LEVEL = 9
+#: Ids compressed together: a long reach makes them a tenth smaller.
+PAGE_BYTES, BUNDLE_BYTES = 8 << 20, 32 << 20
 
 
 def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -73,22 +75,23 @@ def _tokenise(path: str, size: int, end: int):
 
 
 def _bundle(bases: dict[int, int], n: int, key: int, shard_slots: int):
-    """Slots of sequences, and what of a batch goes to one shard as one compressed row."""
+    """Slots of sequences, and what of BUNDLE_BYTES of them goes to one shard as one compressed row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=LEVEL).compress
-        for batch in batches:
-            part, pos, piece = (batch.column(c).to_numpy() for c in ("part", "pos", "piece"))
-            doc = batch.column("id").fill_null(0).to_numpy()
-            known = batch.column("id").is_valid().to_numpy(zero_copy_only=False)
-            raw = batch.column("ids").to_pylist()
+
+        def bundled(rows: pa.Table) -> pa.RecordBatch:
+            part, pos, piece = (rows.column(c).to_numpy() for c in ("part", "pos", "piece"))
+            doc = rows.column("id").fill_null(0).to_numpy()
+            known = rows.column("id").is_valid().to_numpy()
+            raw = rows.column("ids").to_pylist()
             which, at = np.unique(part, return_inverse=True)
             slot = feistel(np.array([bases[p] for p in which.tolist()], np.int64)[at] + pos, n, key)
             by = np.argsort(slot)
             shard = slot[by] // shard_slots
-            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(by)] if len(by) else [0]
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(by)]
             shards, bundles = [], []
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 own = by[lo:hi]
@@ -96,7 +99,17 @@ def _bundle(bases: dict[int, int], n: int, key: int, shard_slots: int):
                 head = np.array([slot[own], doc[own], known[own], piece[own], [len(x) for x in ids]], "<i8")
                 shards.append(int(shard[lo]))
                 bundles.append(pack(np.int64(len(own)).tobytes() + head.tobytes() + b"".join(ids)))
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(bundles, pa.binary())], names=["shard", "bundle"])
+            return pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(bundles, pa.binary())], names=["shard", "bundle"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= BUNDLE_BYTES:
+                yield bundled(pa.Table.from_batches(held))
+                held, size = [], 0
+        if sum(map(len, held)):
+            yield bundled(pa.Table.from_batches(held))
 
     return run
 
@@ -171,7 +184,7 @@ def write_shards(
     work = scratch(spark, "sequences")
     two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col))
     found = two.mapInArrow(_tokenise(path or vocabulary_path(), size, end), "part int, pos long, id long, piece int, ids binary")
-    found.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL).parquet(work)
+    found.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL).option("parquet.page.size", PAGE_BYTES).parquet(work)
     rows = spark.read.schema(found.schema).parquet(work)
     bases, n = {}, 0
     for part, count in sorted(rows.groupBy("part").agg(F.count(F.lit(1))).collect()):  # one row per task
