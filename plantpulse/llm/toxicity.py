@@ -33,10 +33,14 @@ SEPARATORS = " .-_*"
 SIGN, DROP, REPEAT, KEEP = 1.0, 0.5, 0.3, 14.0
 
 _SIGNS = "0-9@$!|+€"
-SPACED = r"(?<![^\W_])[^\W\d_](?:[ .\-_*][^\W\d_]){2,}(?![^\W_])"
-LEETED = rf"(?<![^\W_@$!|+€])(?=[^\W\d_]*[{_SIGNS}]+[^\W\d_])(?:[^\W_]|[@$!|+€](?=[^\s!|+$€]))+"
+_ONE = rf"(?:[^\W\d_]|[{_SIGNS}])"
+_ANY = r"(?:[^\W_]|[@$!|+€])"
+#: Single letters and signs with a separator between them; runs without a letter are left alone (see Channel.restore).
+SPACED = rf"(?<![^\W_@$!|+€]){_ONE}(?:[ .\-_*]{_ONE}){{2,}}(?![^\W_])"
+#: A letter anywhere and a sign anywhere; the language model decides what the signs are.
+LEETED = rf"(?<![^\W_@$!|+€])(?={_ANY}*?[^\W\d_])(?={_ANY}*?[{_SIGNS}]){_ANY}+"
 #: A quick look for two single characters in a row, which spaced-out words have.
-SINGLES = re.compile(r"[ .\-_*]\w[ .\-_*]\w(?![^\W_])")
+SINGLES = re.compile(rf"[ .\-_*][\w@$!|+€][ .\-_*][\w@$!|+€](?![^\W_])")
 REPEATED = r"(?<![^\W\d_])(?=([^\W\d_]*?)([^\W\d_])\2\2)[^\W\d_]+"
 SPACED_OUT = re.compile(SPACED)
 TRIPLE = re.compile(r"(.)\1\1")
@@ -68,6 +72,8 @@ class Channel:
         if c in SEPARATORS:
             return [("", DROP), (" ", 0.0)]
         letters = [(c, 0.0)] if c.isalpha() else [(x, SIGN) for x in LEET.get(c, "")] + [(" ", KEEP)]
+        if c == "!" and not chunk[i + 1 : i + 2].isalnum():
+            letters.append((c, 0.0))  # an exclamation mark as such
         before = i - len(chunk[:i].rstrip(c))
         run = before + len(chunk[i:]) - len(chunk[i:].lstrip(c))
         if run < 3 or not before:
@@ -109,25 +115,31 @@ class Channel:
 
     def restore(self, text: str | None) -> str:
         """A lower-cased text with its noisy chunks restored."""
-        return NOISY.sub(lambda m: self.decode(m[0]), (text or "").lower())
+        return NOISY.sub(lambda m: self.decode(m[0]) if WORD.search(m[0]) else m[0], (text or "").lower())
 
     def chunks(self, text: str | None) -> set[str]:
         """The distinct strings between blanks of a text, and its spaced-out words: what is restored by itself."""
         low = (text or "").lower()
-        found = set(low.split())
+        found, end = set(low.split()), 0
         for hint in SINGLES.finditer(low):
             # the run starts with the character before the hint, or else with the hint's first one
             at = hint.start()
+            if at < end:
+                continue
             if run := (at and SPACED_OUT.match(low, at - 1)) or SPACED_OUT.match(low, at + 1):
-                found.add(run[0])
+                end = run.end()
+                if WORD.search(run[0]):
+                    found.add(run[0])
         return found
 
     def words(self, chunk: str) -> list[str]:
-        """The words of a restored chunk."""
+        """The words of a restored chunk. Signs at its end may be no letters, so its words without them count too."""
         core = chunk.strip(RIM)
         if core.isalpha() and not TRIPLE.search(core):
             return [core]
-        return WORD.findall(self.restore(chunk))
+        found = WORD.findall(self.restore(chunk))
+        bare = core.rstrip("".join(LEET))
+        return list(dict.fromkeys(found + WORD.findall(self.restore(bare)))) if bare != core else found
 
 
 @cache
@@ -306,7 +318,7 @@ def _score(sent, text_at: int, names: list[str]):
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) of ``docs`` and toxicity, from 0 to 1.
 
-    Chunks that are spaced out, hold signs among letters or repeat a letter three times are decoded: each sign has the
+    Chunks that are spaced out, hold letters and signs or repeat a letter three times are decoded: each sign has the
     letters it may stand for, separators and repeats may go, and Viterbi takes the path that the character language
     model likes best. The restored words' odds are scored. Texts are read whole. Null texts count as empty; empty texts get the
     score of a text without evidence. Repeated rows get equal scores. toxicity replaces a column of that name.

@@ -94,6 +94,19 @@ def test_noise_is_decoded(channel, noisy, clean):
     assert channel.restore(noisy) == clean
 
 
+@pytest.mark.parametrize("noisy, clean", [
+    ("idi07", "idiot"), ("7ra5h", "trash"), ("path3tic 5tup1d go0d", "pathetic stupid good"), ("worthle$$", "worthless"), ("worthle55.", "worthless."), ("th3", "the"), ("the!!", "the!"),
+    ("i d 1 0 t", "idiot"), ("i.d.1.0.7", "idiot"), ("s t u p 1 d", "stupid"), ("$-t-u-p-1-d!", "stupid!"), ("1 2 3 4.5 6", "1 2 3 4.5 6"), ("idiot", "idiot"),
+])
+def test_noise_at_the_end_and_spaced_signs_are_decoded(channel, noisy, clean):
+    assert channel.restore(noisy) == clean
+    assert set(toxicity.WORD.findall(clean)) <= {w for c in channel.chunks(noisy) for w in channel.words(c)}
+
+
+def test_signs_at_the_end_may_be_no_letters(channel):
+    assert "idiot" in channel.words("idiot2") and "trash" in channel.words("tr4sh99") and channel.words("the!!") == ["the"]
+
+
 def test_decoding_takes_the_cheapest_path(channel):
     def paths(chunk):
         for arcs in itertools.product(*(channel.arcs(chunk, i) for i in range(len(chunk)))):
