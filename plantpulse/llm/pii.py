@@ -53,14 +53,17 @@ VALID = {
 }
 
 
-def context(before: Column) -> Column:
+def context(before: Column, start: Column) -> Column:
     """The lexical pattern: the last two words before an entity on its line, lower-cased, with the signs between them.
 
-    Null where there are fewer than two words, as a single word is no pattern.
+    Where a line starts with a single word and the entity follows, that word behind a line feed, which stands for the
+    line's start, is the pattern. ``before`` ends at ``start`` and reaches to the text's start if it is as long. Null if
+    there is neither.
     """
-    near = F.substring(before, -REACH, REACH)
-    hit = F.regexp_extract(near, r"(?<!\p{L})(\p{L}+[^\p{L}\n0-9@]{1,3}\p{L}+[^\p{L}\n0-9@]{1,3})$", 1)
-    return F.nullif(F.lower(hit), F.lit(""))
+    near = F.substring(F.when(F.length(before) == start, F.concat(F.lit("\n"), before)).otherwise(before), -REACH, REACH)
+    two = F.regexp_extract(near, r"(?<!\p{L})(\p{L}+[^\p{L}\n0-9@]{1,3}\p{L}+[^\p{L}\n0-9@]{1,3})$", 1)
+    one = F.regexp_extract(near, r"\n[^\p{L}\n0-9@]{0,3}(\p{L}+[^\p{L}\n0-9@]{1,3})$", 1)
+    return F.when(two != "", F.lower(two)).when(one != "", F.concat(F.lit("\n"), F.lower(one)))
 
 
 def _valid(kind: str) -> Column:
@@ -85,49 +88,48 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     right = [_valid(k).alias(f"_{k}") for k in KINDS]
     got = got.select("_row", "_id", "_word", *right)
     base = F.concat(*[_as(n, lambda s: (s["start"], s["end"])) for n in range(len(KINDS))])
-    seeds = F.concat(*[_as(n, lambda s: (s["value"], context(s["before"]).alias("ctx"))) for n in range(len(KINDS))])
+    seeds = F.concat(*[_as(n, lambda s: (s["value"], context(s["before"], s["start"]).alias("ctx"))) for n in range(len(KINDS))])
     got = got.withColumn("base", F.array_sort(base)).withColumn("seeds", F.filter(seeds, lambda s: s["ctx"].isNotNull()))
 
     def trimmed(s: Column) -> Column:
         """The word without its rim; its context includes a bracket or quote before it."""
         lead = F.length(s["value"]) - F.length(F.ltrim(s["value"], F.lit(RIM)))
         value = F.btrim(s["value"], F.lit(RIM))
-        return F.struct((s["start"] + lead).alias("start"), (s["start"] + lead + F.length(value)).alias("end"), value.alias("value"), context(s["before"]).alias("ctx"))
+        return F.struct((s["start"] + lead).alias("start"), (s["start"] + lead + F.length(value)).alias("end"), value.alias("value"), context(s["before"], s["start"]).alias("ctx"))
 
-    words = F.filter(F.transform("_word", trimmed), lambda s: s["ctx"].isNotNull() & (F.length(s["value"]) >= 5))
+    words = F.filter(F.transform("_word", trimmed), lambda s: F.length(s["value"]) >= 5)
     free = F.filter(words, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return got.select("_row", "_id", "base", "seeds", free.alias("words"))
 
 
 def bootstrap(seeds: DataFrame, words: DataFrame, rounds: int, least_seeds: int, least_pattern: float, least_instance: float) -> DataFrame:
-    """(ctx, value, kind) of the occurrences that discovered identifiers have.
+    """(value, kind) of the discovered identifiers.
 
-    The graph joins contexts and the values seen after them. A context's confidence for a kind is the mean score of its
-    distinct values; a value that isn't a seed gets the score 1 - prod(1 - confidence) over its contexts that are at
-    least ``least_pattern`` and backed by ``least_seeds`` values. Both are computed anew for each round.
+    The graph joins contexts and the values seen after them, whether seeds stand behind a context or not. A context's
+    confidence for a kind is the mean score of its distinct values: 1 for seeds, and for other values
+    1 - prod(1 - confidence) over their contexts that are at least ``least_pattern`` and backed by ``least_seeds`` seeds
+    or values of at least ``least_instance``. Both are computed anew for each round, so values found in one round make
+    patterns of new contexts in the next.
     """
     known = seeds.select("ctx", "value", "kind").distinct()
-    # an unknown value is an edge for each kind that its context has any seed of
-    kinds = known.select("ctx", "kind").distinct()
-    unknown = words.select("ctx", "value").distinct()
-    open_edges = cut(unknown.join(kinds, "ctx"), "pii-edges")
-    sure = known.groupBy("ctx", "kind").agg(F.count(F.lit(1)).alias("n_seed"))
-    seen = unknown.groupBy("ctx").agg(F.count(F.lit(1)).alias("n_open"))
-    all_known = known.groupBy("ctx").agg(F.count(F.lit(1)).alias("n_known"))
-    base = cut(sure.join(all_known, "ctx").join(seen, "ctx"), "pii-contexts")
+    unknown = cut(words.filter(F.col("ctx").isNotNull()).select("ctx", "value").distinct(), "pii-edges")
+    sure = known.groupBy("ctx", "kind").agg(F.count(F.lit(1)).cast("double").alias("gain"), F.count(F.lit(1)).alias("n"))
+    sure = cut(sure, "pii-contexts")
+    sizes = sure.select("ctx", "n").unionByName(unknown.groupBy("ctx").agg(F.count(F.lit(1)).alias("n")))
+    sizes = cut(sizes.groupBy("ctx").agg(F.sum("n").alias("n_values")), "pii-sizes")
     scores = None
     for _ in range(rounds):
-        if scores is None:
-            patterns = base.withColumn("gain", F.lit(0.0)).withColumn("n_more", F.lit(0))
-        else:
-            gain = open_edges.join(scores, ["value", "kind"]).groupBy("ctx", "kind").agg(F.sum("score").alias("gain"), F.count_if(F.col("score") >= least_instance).alias("n_more"))
-            patterns = base.join(gain, ["ctx", "kind"], "left").fillna(0, ["gain", "n_more"])
-        confidence = (F.col("n_seed") + F.col("gain")) / (F.col("n_known") + F.col("n_open"))
-        good = patterns.filter((F.col("n_seed") + F.col("n_more") >= least_seeds) & (confidence >= least_pattern)).select("ctx", "kind", confidence.alias("confidence"))
+        support = sure
+        if scores is not None:
+            more = unknown.join(scores, "value").groupBy("ctx", "kind").agg(F.sum("score").alias("gain"), F.count_if(F.col("score") >= least_instance).alias("n"))
+            support = sure.unionByName(more).groupBy("ctx", "kind").agg(F.sum("gain").alias("gain"), F.sum("n").alias("n"))
+        confidence = F.col("gain") / F.col("n_values")
+        backed = support.filter(F.col("n") >= least_seeds).join(sizes, "ctx")
+        good = backed.filter(confidence >= least_pattern).select("ctx", "kind", confidence.alias("confidence"))
         doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
-        scores = cut(open_edges.join(good, ["ctx", "kind"]).groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score")), "pii-scores")
-    best = scores.filter(F.col("score") >= least_instance).groupBy("value").agg(F.max(F.struct("score", -F.col("kind"))).alias("b")).select("value", (-F.col("b.col2")).alias("kind"))
-    return open_edges.join(best, ["value", "kind"]).join(good.select("ctx", "kind"), ["ctx", "kind"])
+        scores = cut(unknown.join(good, "ctx").groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score")), "pii-scores")
+    best = scores.filter(F.col("score") >= least_instance).groupBy("value").agg(F.max(F.struct("score", -F.col("kind"))).alias("b"))
+    return best.select("value", (-F.col("b.col2")).alias("kind"))
 
 
 def find_pii(
@@ -137,9 +139,9 @@ def find_pii(
     """Per row: id, base (array of kind, start, end) and spans (base ones and discovered ones).
 
     Fixed patterns find the seeds (email, IP address, payment card, phone number). The two words before a seed are
-    a lexical pattern; patterns and the identifier-like words that follow them form a graph, which is scored for
-    ``rounds`` rounds over the whole corpus (see bootstrap). Words that follow a pattern of high confidence get that
-    pattern's kind; they overlap no base span. The graph holds each pair once, so frequent pairs weigh nothing, and
+    a lexical pattern, or the one word between a line's start and it; patterns and the identifier-like words that follow
+    them form a graph, which is scored for ``rounds`` rounds over the whole corpus (see bootstrap). Words that follow a
+    pattern of high confidence get that pattern's kind wherever they occur; they overlap no base span. The graph holds each pair once, so frequent pairs weigh nothing, and
     its hot contexts are combined before each exchange.
 
     Null texts count as empty and have no spans. Repeated rows get the same spans, each for itself. Positions are code
@@ -148,8 +150,8 @@ def find_pii(
     rows = cut(base_spans(docs, id_col, text_col), "pii-base")
     seeds = rows.select(F.explode("seeds").alias("s")).select("s.*")
     words = rows.select("_row", F.explode("words").alias("w")).select("_row", "w.*")
-    found_pairs = bootstrap(seeds, words, rounds, least_seeds, least_pattern, least_instance)
-    more = words.join(found_pairs, ["ctx", "value"]).groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
+    discovered = bootstrap(seeds, words, rounds, least_seeds, least_pattern, least_instance)
+    more = words.join(discovered, "value").groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
     return rows.join(more, "_row", "left").select(
         F.col("_id").alias(id_col), "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"),

@@ -59,6 +59,24 @@ def test_contexts_discover_identifiers(spark, rows):
     assert got[3].spans == got[3].spans and got[3].n_email == 1 and got[3].spans.count(":") == 2
 
 
+def test_discovered_identifiers_make_patterns(spark, rows):
+    data = [(i, f"mail me at user{i}@host{i}.org", "", 0, 0) for i in range(12)]
+    data += [(20 + i, f"mail me at joe{i}(at)site", "", 0, 0) for i in range(6)]
+    # no seed stands behind "ping us on", only values found behind "mail me at" do
+    data += [(30 + i, f"ping us on joe{i}(at)site", "", 0, 0) for i in range(6)]
+    data += [(40, "ping us on ann7(at)site", "", 0, 0), (41, "joe3(at)site", "", 0, 0), (42, "- 55 joe3(at)site, 1 of 77777", "", 0, 0)]
+    got = {r.doc_id: r.spans for r in pii.pii_digest(pii.find_pii(rows(data, DOCS))).collect()}
+    assert got[33] == "email:11:23" and got[40] == "email:11:23"
+    assert got[41] == "email:0:12" and got[42] == "email:5:17"
+
+
+def test_one_word_at_a_lines_start_is_a_pattern(spark, rows):
+    data = [(i, f"Notes\nEmail: user{i}@host{i}.org\nsome Email: x", "", 0, 0) for i in range(6)]
+    data += [(20, "Email: joe(at)site9", "", 0, 0), (21, "a\n\n* email: ann(at)site8", "", 0, 0), (22, "1 22 email: bob(at)site7", "", 0, 0)]
+    got = {r.doc_id: r.spans for r in pii.pii_digest(pii.find_pii(rows(data, DOCS))).collect()}
+    assert got[20] == "email:7:19" and got[21] == "email:12:24" and got[22] == ""
+
+
 def test_repeated_rows_and_empty_tables(spark, rows):
     data = [(1, "a@b.co", "", 0, 0), (1, "a@b.co", "", 0, 0), (None, "a@b.co", "", 0, 0)]
     assert [r.n_email for r in pii.pii_digest(pii.find_pii(rows(data, DOCS))).collect()] == [1, 1, 1]
