@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.text import found, joined, located
+from plantpulse.llm.text import found, joined, located, running_sum
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
 #: kind -> (pattern, least length). Runs are matched from their start only, which long texts need.
@@ -65,12 +65,40 @@ def hot_range(value: Column, window: int, least: Column) -> Column:
     return F.struct(done["lo"].alias("lo"), done["hi"].alias("hi"))
 
 
+def _open_pieces(s: Column, window: int, allow: tuple[str, ...]) -> Column:
+    """array<struct<start, value>>: what of a candidate lies between base spans and allowed parts, ``window`` long at least.
+
+    Parts are what lies between the signs / and =. A pattern that fits the candidate from end to end allows all of it.
+    """
+    fits = lambda v, form: reduce(or_, [v.rlike(form.format(p)) for p in allow], F.lit(False))
+    block = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+    n = F.length(s["value"])
+    parts = F.split(s["value"], "[/=]", -1)
+    ends = running_sum(F.transform(parts, lambda p: F.length(p) + 1))
+    free = F.filter(F.arrays_zip(parts.alias("p"), ends.alias("e")), lambda x: fits(x["p"], "{}"))
+    known = F.filter("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    blocks = F.concat(
+        F.transform(known, lambda b: block(F.greatest(b["start"] - s["start"], F.lit(0)), F.least(b["end"], s["end"]) - s["start"])),
+        F.transform(free, lambda x: block(x["e"] - 1 - F.length(x["p"]), x["e"] - 1)),
+        F.when(fits(s["value"], "^(?:{})$"), F.array(block(F.lit(0), n))).otherwise(F.array().cast("array<struct<lo:int,hi:int>>")),
+    )
+
+    def between(state: Column, b: Column) -> Column:
+        piece = F.array(block(state["at"], b["lo"]))
+        return F.struct(F.greatest(state["at"], b["hi"]).alias("at"), F.when(b["lo"] - state["at"] >= window, F.concat(state["got"], piece)).otherwise(state["got"]).alias("got"))
+
+    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<lo:int,hi:int>>").alias("got"))
+    pieces = F.aggregate(F.concat(F.array_sort(blocks), F.array(block(n, n))), begun, between, lambda state: state["got"])
+    return F.transform(pieces, lambda g: F.struct((s["start"] + g["lo"]).alias("start"), F.substring(s["value"], g["lo"] + 1, g["hi"] - g["lo"]).alias("value")))
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 16, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """Per row: id, base (array of kind, start, end) and spans (base ones and those of the entropy scan).
 
     Fixed patterns give the kinds assign, access and hex. Candidate strings get the kind entropy where a window of
-    ``window`` characters reaches the bits per character of the string's class, if no allow-list pattern fits the string
-    and no fixed pattern's span overlaps it. Everything happens in the scan of the texts, without an exchange.
+    ``window`` characters reaches the bits per character of its class. Windows that overlap a fixed pattern's span, or a
+    part of the string (between / and =) that an allow-list pattern fits, don't count; what lies between those is
+    scanned piece by piece, if it has a digit and a letter. Everything happens in the scan of the texts, without an exchange.
 
     Null texts count as empty and have no spans. Repeated rows are scanned each for itself. Positions are code points,
     ends exclusive. Spans are in order of start, then kind. An empty table gives an empty result.
@@ -96,9 +124,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = F.concat(*[spans_of(k) for k in BASE])
     got = got.select("_id", F.array_sort(base).alias("base"), "_entropy")
     least = lambda v: F.coalesce(*[F.when(v.rlike(p), F.lit(b)) for p, b in CLASSES.values()])
-    unknown = F.filter(F.col("_entropy"), lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    allowed = lambda s: reduce(or_, [s["value"].rlike(p) for p in allow], F.lit(False))
-    unknown = F.filter(unknown, lambda s: ~allowed(s))
+    opened = F.flatten(F.transform("_entropy", lambda s: _open_pieces(s, window, allow)))
+    got = got.select("_id", "base", opened.alias("_open"))
+    unknown = F.filter("_open", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
     scanned = F.transform(unknown, lambda s: F.struct(s["start"].alias("start"), hot_range(s["value"], window, least(s["value"])).alias("r")))
     hot = F.transform(F.filter(scanned, lambda s: s["r"]["hi"] > 0), lambda s: span("entropy", s, s["r"]["lo"], s["r"]["hi"]))
     return got.select(F.col("_id").alias(id_col), "base", F.array_sort(F.concat("base", hot)).alias("spans"))

@@ -105,3 +105,18 @@ def test_entropy_scan_and_allow_list(spark, rows):
     ]
     got = {r.doc_id: r.spans for r in secrets.secret_digest(secrets.scan_secrets(rows(data, DOCS))).collect()}
     assert got == {1: "entropy:4:24", 2: "", 3: "", 4: "", 5: "assign:0:26"}
+
+
+def test_secrets_beside_known_and_allowed_parts(spark, rows):
+    key = "q9Zx7Lm2Vb8Tn4Kc1Wp6"
+    data = [
+        (1, f"/keys/{key}/d41d8cd98f00b204e9800998ecf8427e", "", 0, 0), (2, f"/example/{key}", "", 0, 0), (3, f"d41d8cd98f00b204e9800998ecf8427e/{key}=sample", "", 0, 0),
+        (4, f"/keys/{key}EXAMPLE/readme", "", 0, 0), (5, "2024/12/31/23/59/59/17/38/46/52", "", 0, 0), (6, "id=123e4567-e89b-12d3-a456-426614174000", "", 0, 0),
+    ]
+    got = {r.doc_id: r.spans.split(",") for r in secrets.secret_digest(secrets.scan_secrets(rows(data, DOCS))).collect()}
+    for i, text, *_ in data[:3]:
+        at = text.index(key)
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i] if x.startswith("entropy")]
+        assert len(spans) == 1 and spans[0][0] <= at + 2 and spans[0][1] >= at + 18, (text, got[i])
+    assert got[1][-1].startswith("hex:") and got[3][0] == "hex:0:32"
+    assert got[4] == got[5] == got[6] == [""]
