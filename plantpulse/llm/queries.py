@@ -12,6 +12,7 @@ from plantpulse.llm.decontamination import decontaminate
 from plantpulse.llm.exact_dedup import exact_dedup
 from plantpulse.llm.jaccard_join import near_duplicates
 from plantpulse.llm.line_dedup import line_dedup
+from plantpulse.llm.merkle import FAN, merkle_manifest
 from plantpulse.llm.packing import pack
 from plantpulse.llm.pii import find_pii, pii_digest
 from plantpulse.llm.secrets import scan_secrets, secret_digest
@@ -138,3 +139,59 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ngram_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_docs", "representative")
+
+
+def _merkle_levels(first: str, name: str, levels: int) -> str:
+    """CTEs ``<name>0`` to ``<name><levels>`` of (tree, i, h, m): the nodes of each level, tops carried along as they are."""
+    out = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS (
+  SELECT tree, i // {FAN} AS i, CASE WHEN m = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h, (m + {FAN - 1}) // {FAN} AS m
+  FROM {name}{k} GROUP BY tree, i // {FAN}, m)""")
+    return ",\n".join(out)
+
+
+def _merkle_siblings(name: str, alias: str, at: str, tree: str, levels: int) -> str:
+    """Lateral joins that give (l, r), the siblings to the left and right, of one leaf's ancestor on each level."""
+    return "\n".join(f"""LEFT JOIN LATERAL (
+  SELECT coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i < {at} // {FAN**k}), '') AS l,
+         coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i > {at} // {FAN**k}), '') AS r, coalesce(max(s.m), 1) > 1 AS inner_node
+  FROM {name}{k} AS s WHERE s.tree = {tree} AND s.i // {FAN} = {at} // {FAN ** (k + 1)}) AS {alias}{k} ON true""" for k in range(levels))
+
+
+def _merkle_sql(levels: int = 5, upper: int = 3) -> str:
+    """Levels suffice for FAN ** levels documents of a source and FAN ** upper sources."""
+    enc = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+    leaf = " || ".join(enc.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    low = leaf.replace("text", LOWER.format("text"))
+    # bits of the CRC: each character is xor-ed in before the first of its eight steps
+    bits = "flatten(list_transform(range(1, length({0}) + 1), lambda p: [CAST(ascii({0}[p]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))".format("CAST(doc_id AS VARCHAR)")
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda a, x: CASE WHEN xor(a, x) % 2 = 1 THEN xor(xor(a, x) >> 1, 3988292384) ELSE xor(a, x) >> 1 END), 4294967295)"
+    own, above = [f"p{k}" for k in range(levels)], [f"u{k}" for k in range(upper)]
+    proof = " || ".join(f"CASE WHEN {a}.inner_node THEN {a}.l || {a}.r ELSE '' END" for a in own + above)
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, sha256({leaf}) AS leaf,
+         CASE WHEN {crc} % 5 = 0 THEN sha256({low}) END AS other
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS m FROM leaves),
+{_merkle_levels("SELECT tree, i, leaf AS h, m FROM placed", "g", levels)},
+subroots AS (SELECT tree AS of, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS j, count(*) OVER () AS m FROM g{levels}),
+{_merkle_levels("SELECT '' AS tree, j AS i, subroot AS h, m FROM subroots", "t", upper)},
+folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT h FROM t{upper}) AS root, sha256({proof}) AS proof_sha256,
+         coalesce(other, leaf) AS start, {", ".join(f"{a}.l AS l_{a}, {a}.r AS r_{a}, {a}.inner_node AS n_{a}" for a in own + above)}
+  FROM placed JOIN subroots ON of = placed.tree
+  {_merkle_siblings("g", "p", "placed.i", "placed.tree", levels)}
+  {_merkle_siblings("t", "u", "subroots.j", "''", upper)}),
+""" + ",\n".join(
+        f"f{k} AS (SELECT * EXCLUDE (start), CASE WHEN n_{a} THEN sha256(l_{a} || start || r_{a}) ELSE start END AS start FROM {'folded' if k == 0 else f'f{k - 1}'})"
+        for k, a in enumerate(own + above)) + f"""
+SELECT doc_id, leaf, subroot, root, proof_sha256, start AS folded_root, start = root AS verified FROM f{levels + upper - 1}
+"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
