@@ -13,11 +13,13 @@ from plantpulse.llm.exact_dedup import exact_dedup
 from plantpulse.llm.jaccard_join import near_duplicates
 from plantpulse.llm.line_dedup import line_dedup
 from plantpulse.llm.merkle import FAN, merkle_manifest
+from plantpulse.llm.nearest import nearest
 from plantpulse.llm.packing import pack
 from plantpulse.llm.pii import find_pii, pii_digest
 from plantpulse.llm.secrets import scan_secrets, secret_digest
 from plantpulse.llm.text import UPPER, hex_sha256
 from plantpulse.llm.token_shards import read_slots, write_shards
+from plantpulse.llm.whitening import whiten_embeddings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -195,3 +197,13 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, start AS folded_root, start =
 @query("op11_merkle_manifest", _merkle_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_nearest_neighbours")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
