@@ -52,6 +52,9 @@ def classes_of(vectors: DataFrame, k: int) -> DataFrame:
     return cut(grouped.withColumn("c", F.monotonically_increasing_id()), "nearest-vectors")
 
 
+_HITS = pa.list_(pa.struct([("score", pa.float64()), ("first", pa.int64()), ("c", pa.int64()), ("ids", pa.list_(pa.int64()))]))
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array, dtype: type = np.float64) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -235,19 +238,52 @@ def _layout(index: Index, sizes: np.ndarray, asked: np.ndarray) -> Layout:
     return Layout(group, blocks, parts)
 
 
-def _with_lists(vectors: DataFrame, index: Index, sizes: np.ndarray | None, least: int, label: str) -> DataFrame:
-    """(c, v, ids, lists): the lists a vector is posted to, or, with ``sizes``, those a query searches."""
+def _posted(vectors: DataFrame, index: Index) -> DataFrame:
+    """(c, v, ids, lists): the lists a vector is posted to."""
     kind = next(f.dataType.simpleString() for f in vectors.schema if f.name == "v")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
+                yield pa.record_batch([*part.columns, pa.array(index.postings(_matrix(part.column("v"))), pa.list_(pa.int32()))], [*part.schema.names, "lists"])
+
+    return cut(vectors.select("c", "v", "ids").mapInArrow(task, f"c long, v {kind}, ids array<long>, lists array<int>"), "nearest-postings")
+
+
+@dataclass(frozen=True)
+class Sample:
+    """The sampled vectors with their class, and their identifiers."""
+
+    matrix: np.ndarray
+    c: np.ndarray
+    ids: list[list[int]]
+
+
+def _probed(vectors: DataFrame, index: Index, sizes: np.ndarray, least: int, sample: Sample, k: int) -> DataFrame:
+    """(c, v, lists, bound, hits): the lists a query searches, its best k + 1 vectors of the sample, and the least score of these.
+
+    The sample's vectors are candidates like all others, so nothing below the bound can be among the nearest.
+    """
+    kind = next(f.dataType.simpleString() for f in vectors.schema if f.name == "v")
+    first = np.array([x[0] for x in sample.ids])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256).select(["c", "v"])
                 matrix = _matrix(part.column("v"))
-                lists = index.postings(matrix) if sizes is None else index.probes(matrix, sizes, least)
-                yield pa.record_batch([*part.columns, pa.array(lists, pa.list_(pa.int32()))], [*part.schema.names, "lists"])
+                scores = matrix @ sample.matrix.T
+                rows, columns = _best(scores, first, k + 1)
+                hits: list[list[dict]] = [[] for _ in matrix]
+                for r, c in zip(rows, columns):
+                    hits[r].append({"score": float(scores[r, c]), "first": int(first[c]), "c": int(sample.c[c]), "ids": sample.ids[c]})
+                bound = [x[-1]["score"] if len(x) > k else -np.inf for x in hits]
+                lists = index.probes(matrix, sizes, least)
+                yield pa.record_batch([*part.columns, pa.array(lists, pa.list_(pa.int32())), pa.array(bound, pa.float64()), pa.array(hits, _HITS)], [*part.schema.names, "lists", "bound", "hits"])
 
-    return cut(vectors.select("c", "v", "ids").mapInArrow(task, f"c long, v {kind}, ids array<long>, lists array<int>"), label)
+    schema = f"c long, v {kind}, lists array<int>, bound double, hits array<struct<score:double,first:long,c:long,ids:array<long>>>"
+    return cut(vectors.select("c", "v").mapInArrow(task, schema), "nearest-probes")
 
 
 def _counts(rows: DataFrame, column: Column, lists: int) -> np.ndarray:
@@ -264,14 +300,15 @@ def _shipped(rows: DataFrame, layout: Layout, queries: bool) -> DataFrame:
         return F.get(F.lit(values.astype(int).tolist()).cast("array<int>"), F.col("list"))
 
     each = rows.select("*", F.explode("lists").alias("list")).withColumn("g", at(layout.group)).withColumn("n", at(layout.blocks)).withColumn("p", at(layout.parts))
-    each = each.groupBy("c", "g", "n", "p").agg(F.first("v").alias("v"), F.first("ids").alias("ids"), F.collect_list("list").alias("lists"))
+    extra = "bound" if queries else "ids"
+    each = each.groupBy("c", "g", "n", "p").agg(F.first("v").alias("v"), F.first(extra).alias(extra), F.collect_list("list").alias("lists"))
     own, other = ("p", "n") if queries else ("n", "p")
     each = each.withColumn(own, F.pmod(F.xxhash64("c"), F.col(own)).cast("int"))
     return each.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
 
 
 def _search(postings: DataFrame, queries: DataFrame, layout: Layout, k: int) -> DataFrame:
-    """(q, score, first, c, ids): the best k + 1 distinct vectors of each group for each query."""
+    """(q, score, first, c, ids): the best k + 1 distinct vectors of each group for each query, of those at its bound or above."""
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -279,14 +316,15 @@ def _search(postings: DataFrame, queries: DataFrame, layout: Layout, k: int) ->
             vectors, asked = _matrix(left.column("v")), _matrix(right.column("v"))
             ids = left.column("ids").combine_chunks()
             first = ids.flatten().to_numpy()[ids.value_lengths().to_numpy().cumsum() - ids.value_lengths().to_numpy()]
-            c, q = left.column("c").to_numpy(), right.column("c").to_numpy()
+            c, q, bound = left.column("c").to_numpy(), right.column("c").to_numpy(), right.column("bound").to_numpy()
+            bound = np.where(np.isfinite(bound), bound - 1e-12 * np.abs(bound), bound)  # products of other blocks round otherwise
             held, wanted = (side.column("lists").combine_chunks() for side in (left, right))
             held_row, wanted_row = (np.repeat(np.arange(len(x)), x.value_lengths().to_numpy()) for x in (held, wanted))
             held, wanted = held.flatten().to_numpy(), wanted.flatten().to_numpy()
             for one in np.intersect1d(held, wanted):
                 a, b = held_row[held == one], wanted_row[wanted == one]
                 scores = asked[b] @ vectors[a].T
-                rows, columns = _best(scores, first[a], k + 1)
+                rows, columns = np.nonzero(scores >= bound[b][:, None])
                 out.append((b[rows], a[columns], scores[rows, columns]))
         if not out:
             return pa.table([pa.array([], t) for t in found.types], schema=found)
@@ -312,7 +350,8 @@ def nearest(rows: DataFrame, asks: Column, k: int = K, id_col: str = "vec_id", v
 
     Distinct vectors are posted to the list of their nearest centroid, and to others nearly as near. A query walks the
     graph over the centroids, takes the lists within the pruning ratio, and scores all vectors there in double
-    precision. Lists longer than BLOCK are searched in blocks, and the queries of a list in parts, so no group grows
+    precision. Its k + 1 best vectors of the sample are candidates too, so a group of the search gives out only what scores no
+    less than they. Lists longer than BLOCK are searched in blocks, and the queries of a list in parts, so no group grows
     with the table; nothing is left out of a list. The driver holds the sample, the centroids and counts per list.
 
     Rows that ``usable`` leaves out neither ask nor are found. Rows alike in identifier and vector are one row. A row's
@@ -326,18 +365,20 @@ def nearest(rows: DataFrame, asks: Column, k: int = K, id_col: str = "vec_id", v
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     share = int(min(1.0, sample / facts["n"]) * 2**30)
     chosen = known.filter(F.pmod("h", F.lit(2**30)) < share).orderBy("h", "c").limit(2 * sample) if share < 2**30 else known.orderBy("h", "c")
-    matrix = np.array([r["v"] for r in chosen.select("v").collect()], dtype=np.float64)
-    index = fit(matrix, facts["norm"] ** 0.5, facts["n"], k, lists)
+    chosen = chosen.select("c", "v", "ids").collect()
+    some = Sample(np.array([r["v"] for r in chosen], dtype=np.float64), np.array([r["c"] for r in chosen]), [list(r["ids"]) for r in chosen])
+    index = fit(some.matrix, facts["norm"] ** 0.5, facts["n"], k, lists)
     number = len(index.centroids)
 
-    postings = _with_lists(known, index, None, 0, "nearest-postings")
+    postings = _posted(known, index)
     sizes, primary = _counts(postings, F.col("lists"), number), _counts(postings, F.slice("lists", 1, 1), number)
     asking = vectors.filter(asks).distinct()
     asked = known.join(asking.select("h", "v").distinct(), ["h", "v"], "left_semi")
-    probes = _with_lists(asked, index, primary, min(k + 1, facts["n"]), "nearest-probes")
+    probes = _probed(asked, index, primary, min(k + 1, facts["n"]), some, k)
     layout = _layout(index, sizes, _counts(probes, F.col("lists"), number))
 
-    found = _search(postings, probes, layout, k).repartition("q").groupBy("q", "c").agg(F.max("score").alias("score"), F.first("first").alias("first"), F.first("ids").alias("ids"))
+    sampled = probes.select(F.col("c").alias("q"), F.inline("hits")).select("q", "score", "first", "c", "ids")
+    found = _search(postings, probes, layout, k).unionByName(sampled).repartition("q").groupBy("q", "c").agg(F.max("score").alias("score"), F.first("first").alias("first"), F.first("ids").alias("ids"))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "first", "c")
     few = found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).select("q", "score", F.explode("ids").alias("id"))
     few = few.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("r") <= k + 1)
