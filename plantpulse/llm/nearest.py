@@ -326,7 +326,7 @@ def _search(postings: DataFrame, queries: DataFrame, layout: Layout, k: int) ->
                 scores = asked[b] @ vectors[a].T
                 rows, columns = np.nonzero(scores >= bound[b][:, None])
                 out.append((b[rows], a[columns], scores[rows, columns]))
-        if not out:
+        if not any(len(rows) for rows, _, _ in out):
             return pa.table([pa.array([], t) for t in found.types], schema=found)
         rows, columns, scores = (np.concatenate(x) for x in zip(*out))
         order = np.lexsort((columns, rows))  # a copy of a vector in two lists of the group counts once
