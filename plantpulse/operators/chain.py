@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantpulse.constants import GENESIS_HASH
@@ -49,103 +49,105 @@ def linkage(df: DataFrame, key: str = "device_id", ts: str = "event_time", seq:
     return chunks.without_halo(extended.withColumn("linked", F.col("prev_hash") == previous))
 
 
-def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Contract each slice's messages to runs in which every message follows the one before."""
-    columns = ["device_id", *SLICE, "head_prev", "head_ts", "head_seq", "tail_hash", "tail_ts", "tail_seq"]
-    group, runs, open_tails = None, [], {}
-    for batch in batches:
-        done = []
-        for *at, prev, digest, ts, seq in zip(
-            *[batch[c].tolist() for c in ("device_id", *SLICE, "_prev", "_declared", "_ts", "_seq")]
-        ):
-            if at != group:
-                done += runs
-                group, runs, open_tails = at, [], {}
-            run = open_tails.pop(prev, None)
-            if run is None:
-                run = [*at, prev, ts, seq, digest, ts, seq]
-                runs.append(run)
-            run[-3:] = [digest, ts, seq]
-            open_tails[digest] = run
-        yield pd.DataFrame(done, columns=columns)
-    yield pd.DataFrame(runs, columns=columns)
-
-
-def _walk(initial: str):
-    """Follow the chain over runs in time order and keep the runs it passes through."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        device, state, at = None, initial, None
-        for batch in batches:
-            taken = []
-            for i, row in enumerate(batch.itertuples(index=False)):
-                if row.device_id != device:
-                    device, state, at = row.device_id, initial, None
-                if row.head_prev == state and (at is None or (row.head_ts, row.head_seq) > at):
-                    state, at = row.tail_hash, (row.tail_ts, row.tail_seq)
-                    taken.append(i)
-            yield batch.iloc[taken]
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``_pos`` from 1 within (device, slice) and ``_at`` = (slice, part, position), an order of a device's rows."""
+    order = Window.partitionBy("device_id", *SLICE).orderBy("_ts", "_seq", "_declared", "_prev", "_computed")
+    return rows.withColumn("_pos", F.row_number().over(order)).withColumn("_at", F.struct(*SLICE, "_pos"))
 
-    return run
 
+def _followers(own: DataFrame) -> DataFrame:
+    """``own`` with ``_next``: the place of the first later message that names this one's hash as its previous.
 
-def _verify_step(state, own_ok, prev, declared):
-    """One message against the last valid hash; a rejected message leaves the state as it is."""
-    last, idx = state
-    ok = bool(own_ok) and prev == last
-    return (ok, last, idx), (declared if ok else last, idx + 1)
+    Messages meet by hash within a slice; for the rest a table with one row per hash and slice is searched. So copies of
+    one message, however many, meet only within their slice.
+    """
+    keys = ["device_id", "_link"]
+    sides = F.array(F.struct(F.col("_declared").alias("_link"), F.lit(True).alias("_asks")),
+                    F.struct(F.col("_prev").alias("_link"), F.lit(False).alias("_asks")))
+    met = own.select("device_id", *SLICE, "_at", F.inline(sides)).withColumn("_child", F.when(~F.col("_asks"), F.col("_at")))
+    # newest first, so that the last child seen is the nearest later one
+    later = Window.partitionBy(*keys, *SLICE).orderBy(F.col("_at").desc(), F.col("_asks").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    inside = met.withColumn("_near", F.last("_child", ignorenulls=True).over(later)).where("_asks")
+    firsts = met.groupBy(*keys, *SLICE).agg(F.min("_child").alias("_child"))
+    beyond = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in SLICE]).rowsBetween(Window.unboundedPreceding, -1)
+    far = firsts.withColumn("_far", F.last("_child", ignorenulls=True).over(beyond)).where("_far IS NOT NULL").drop("_child")
+    linked = inside.join(far, [*keys, *SLICE], "left")
+    return linked.select("device_id", *SLICE, "_at", F.coalesce("_near", "_far").alias("_next"))
+
+
+def _runs(own: DataFrame, initial: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with their run, runs): stretches of a slice in which each message's follower is the next one.
+
+    A message starts a run if the one before doesn't lead to it, or another one does, or a chain may start with it.
+    A run is thus entered at its head only; ``_next`` of a run is that of its last message.
+    """
+    linked = cut(_followers(own), "chain-followers")
+    window = Window.partitionBy("device_id", *SLICE).orderBy("_at")
+    stepped = linked.withColumns({"_before": F.lag("_at").over(window), "_led": F.lag("_next").over(window), "_after": F.lead("_at").over(window)})
+    starts = own.where(F.col("_prev") == initial).groupBy("device_id").agg(F.min("_at").alias("_at")).withColumn("_start", F.lit(True))
+    jumps = stepped.where("_next IS NOT NULL AND NOT _next <=> _after").select("device_id", F.col("_next").alias("_at"))
+    entered = jumps.unionByName(starts.select("device_id", "_at")).distinct().withColumn("_entered", F.lit(True))
+    heads = stepped.join(entered, ["device_id", "_at"], "left").withColumn("_head", F.when(F.col("_entered") | ~F.col("_led").eqNullSafe(F.col("_at")), F.col("_at")))
+    upto = window.rowsBetween(Window.unboundedPreceding, 0)
+    members = cut(heads.select("device_id", "_at", "_next", F.last("_head", ignorenulls=True).over(upto).alias("_run")), "chain-members")
+    runs = members.groupBy("device_id", "_run").agg(F.max_by("_next", "_at").alias("_next"))
+    return members, cut(runs.join(starts.withColumnRenamed("_at", "_run"), ["device_id", "_run"], "left"), "chain-runs")
+
+
+def _accepted_runs(runs: DataFrame) -> DataFrame:
+    """The runs each device's chain passes through, by pointer jumping.
+
+    Marks begin at the first run. In round k every marked run also marks the one 2 ** k runs on, and all pointers
+    are then doubled, so a chain over n runs is followed in log2(n) rounds, all devices at once.
+    """
+    marked = runs.where("_start").select("device_id", "_run")
+    pointers = runs.where("_next IS NOT NULL").select("device_id", "_run", "_next")
+    while True:
+        fresh = cut(marked.join(pointers, ["device_id", "_run"]).select("device_id", F.col("_next").alias("_run")), "chain-marked")
+        if fresh.isEmpty():
+            return marked
+        marked = marked.unionByName(fresh)
+        onward = pointers.select("device_id", F.col("_run").alias("_next"), F.col("_next").alias("_beyond"))
+        pointers = cut(pointers.join(onward, ["device_id", "_next"]).select("device_id", "_run", F.col("_beyond").alias("_next")), "chain-pointers")
 
 
 def verify_chain(df: DataFrame, initial: str = GENESIS_HASH, missing_prev: str = "", canonical: str = "content",
                  ts: str = "event_time", seq: str = "event_id", max_rows: int = chunks.MAX_ROWS) -> DataFrame:
     """Sequential chain verification of every device, one result row per message.
 
-    Three passes, each over (device, slice) groups: self-consistent messages
-    are contracted to runs, the chain is followed over the few runs, and all
-    messages are replayed from the hash valid at the start of their slice. No
-    slice holds more than ``max_rows`` messages.
+    A message is accepted when its hash is right and it names the hash of the message accepted before it. The
+    follower of an accepted message is thus the first later one with a right hash that names it, which is a
+    property of the messages and not of the walk: followers are found by joins, stretches of followers are
+    contracted to runs, and the runs on the way from the first message are found by pointer jumping. No device is
+    walked row by row, and no slice holds more than ``max_rows`` messages.
     """
     prev = F.coalesce(F.col("prev_hash"), F.lit(missing_prev))
     declared = F.coalesce(F.col("hash"), F.lit(""))
     # messages without a usable time come first
     at = F.coalesce(F.col(ts).cast("timestamp"), F.timestamp_seconds(F.lit(0)))
     rows = df.select(
-        "device_id", at.alias("_at"), F.unix_micros(at).alias("_ts"),
+        "device_id", at.alias("_when"), F.unix_micros(at).alias("_ts"),
         F.col(seq).cast("bigint").alias("_seq"), prev.alias("_prev"), declared.alias("_declared"),
         message_hash(canonical, prev).alias("_computed"),
     ).withColumn("_own_ok", F.coalesce(F.col("_declared") == F.col("_computed"), F.lit(False)))
+    sliced = chunks.bounded_slices(rows, "device_id", "_when", "_seq", max_rows).drop("_when")
     # read by the jobs below; the written rows also survive lost executors
-    rows = chunks.bounded_slices(cut(rows, "chain-rows"), "device_id", "_at", "_seq", max_rows).drop("_at")
-
-    # copies of a message can not advance the chain again: the first one stands for all
-    first = F.min(F.struct("_ts", "_seq", *SLICE, "_prev")).alias("f")
-    distinct = rows.where("_own_ok").groupBy("device_id", "_declared").agg(first).select("device_id", "_declared", "f.*")
-    run_schema = ("device_id STRING, _slice BIGINT, _part BIGINT, head_prev STRING, head_ts BIGINT, head_seq BIGINT, "
-                  "tail_hash STRING, tail_ts BIGINT, tail_seq BIGINT")
-    runs = folds.ordered(distinct, ["device_id", *SLICE], ["_ts", "_seq"], _runs, run_schema)
-    runs = cut(runs, "chain-runs")
-    # a run whose head follows no other run can never be entered
-    heads = runs.select("device_id", F.col("tail_hash").alias("head_prev")).distinct()
-    reachable = runs.where(F.col("head_prev") == initial).unionByName(
-        runs.where(F.col("head_prev") != initial).join(heads, ["device_id", "head_prev"], "left_semi"))
-    taken = folds.ordered(reachable.select(*runs.columns), ["device_id"], ["head_ts", "head_seq"], _walk(initial), run_schema)
-
-    per_slice = taken.groupBy("device_id", *SLICE).agg(
-        F.max_by("tail_hash", F.struct("tail_ts", "tail_seq")).alias("_end"))
-    counts = rows.groupBy("device_id", *SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    rows = cut(_numbered(sliced), "chain-rows")
+
+    members, runs = _runs(rows.where("_own_ok"), initial)
+    accepted = members.join(_accepted_runs(runs), ["device_id", "_run"]).select("device_id", "_at", F.lit(True).alias("_ok"))
+    judged = rows.join(accepted, ["device_id", "_at"], "left").withColumn("ok", F.coalesce("_ok", F.lit(False)))
+    judged = cut(judged.drop("_ok", "_own_ok", "_at"), "chain-judged")
+
+    valid = F.when(F.col("ok"), F.col("_declared"))
+    slices = judged.groupBy("device_id", *SLICE).agg(F.count(F.lit(1)).alias("_n"), F.max_by(valid, F.when(F.col("ok"), F.col("_pos"))).alias("_end"))
     before = chunks.before("device_id")
-    entries = counts.join(per_slice, ["device_id", *SLICE], "left").select(
-        "device_id", *SLICE,
-        F.coalesce(F.last("_end", ignorenulls=True).over(before), F.lit(initial)).alias("_state"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_idx_state"),
-    )
-    entries = cut(entries, "chain-entries")
-    state = ["_state", "_idx_state"]
-    fold = folds.stepper(_verify_step, ["device_id", *SLICE], ["_own_ok", "_prev", "_declared"],
-                         ["_ts", "_seq", "_prev", "_declared", "_computed"], ["ok", "_expected", "idx"], state)
-    schema = ("device_id STRING, _slice BIGINT, _part BIGINT, _ts BIGINT, _seq BIGINT, _prev STRING, _declared STRING, _computed STRING, "
-              "ok BOOLEAN, _expected STRING, idx BIGINT, _state STRING, _idx_state BIGINT")
-    checked = folds.sliced(rows, entries, "device_id", ["_ts", "_seq"], state, [initial, 0], fold, schema, "chain-checked")
+    entries = slices.select(
+        "device_id", *SLICE, F.coalesce(F.last("_end", ignorenulls=True).over(before), F.lit(initial)).alias("_state"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy("device_id", *SLICE).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    checked = judged.withColumn("_last", F.last(valid, ignorenulls=True).over(inside)).join(entries, ["device_id", *SLICE])
+    checked = checked.withColumn("_expected", F.coalesce("_last", "_state"))
     reason = (
         F.when(F.col("_prev") != F.col("_expected"),
                F.concat(F.lit("prev_hash_mismatch: declared="), clip("_prev", 16), F.lit(" expected="), clip("_expected", 16)))
@@ -153,8 +155,8 @@ def verify_chain(df: DataFrame, initial: str = GENESIS_HASH, missing_prev: str =
               F.concat(F.lit("hash_mismatch: declared="), clip("_declared", 16), F.lit(" computed="), clip("_computed", 16)))
         .otherwise("")
     )
-    return checked.select("idx", "device_id", F.timestamp_micros("_ts").alias("ts"), F.col("_seq").alias("seq"), "ok",
-                          reason.alias("reason"))
+    return checked.select((F.col("_first") + F.col("_pos") - 1).cast("bigint").alias("idx"), "device_id", F.timestamp_micros("_ts").alias("ts"),
+                          F.col("_seq").alias("seq"), "ok", reason.alias("reason"))
 
 
 def integrity_report(results: DataFrame, key: str = "device_id") -> DataFrame:

@@ -173,14 +173,27 @@ def test_slices_stay_bounded_under_copies(verify, spark):
     assert small.exceptAll(full).count() == 0 and small.count() == 450
 
 
-def test_wrong_predictions_are_repaired(verify, monkeypatch):
-    """With every start state predicted wrong the result is still the sequential one."""
-    from plantpulse.operators import folds
-
-    original = folds.sliced
-
-    def spoiled(rows, entries, key, *args):
-        return original(rows, entries.withColumn("_state", F.lit("e" * 64)), key, *args)
-
-    monkeypatch.setattr(folds, "sliced", spoiled)
-    check(verify, signed("m", 100, gap=300) + signed("n", 3))
+def test_devices_are_not_walked(verify):
+    """The plan has neither Python workers nor a window over a whole device's messages."""
+    plan = verify(signed("m", 20))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+
+
+def test_pointers_double(spark, monkeypatch):
+    """A chain over many slices is followed in as many rounds as its length has binary digits."""
+    rounds = []
+    original = chain.cut
+    monkeypatch.setattr(chain, "cut", lambda df, label: rounds.append(label) or original(df, label))
+    runs = spark.createDataFrame([("m", i, i + 1 if i < 99 else None, True if i == 0 else None) for i in range(100)] + [("n", 0, None, True), ("o", 5, 6, None), ("o", 6, None, None)],
+                                 "device_id STRING, _run BIGINT, _next BIGINT, _start BOOLEAN")
+    got = {tuple(r) for r in chain._accepted_runs(runs).collect()}
+    assert got == {("m", i) for i in range(100)} | {("n", 0)}
+    assert rounds.count("chain-marked") == 8
+
+
+def test_null_device_order_ties_and_copies_at_one_time(verify):
+    base = signed("m", 20, gap=60)
+    same = [[*m] for m in base for _ in range(3)]
+    for i, m in enumerate(same):
+        m[1] = i
+    check(verify, same + [["x", 0, 0, None, None, None]])
