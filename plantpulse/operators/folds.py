@@ -3,8 +3,8 @@
 A fold carries a state from row to row. To spread one hot key over many tasks
 its rows are cut into time slices and every slice starts from a predicted
 state. The prediction is then checked against what the slices really ended
-with; keys where it was wrong are folded again in one piece. The result is
-therefore always that of the plain sequential fold.
+with, and the fold is repaired from the first wrong slice on until the states
+meet again. The result is therefore always that of the plain sequential fold.
 """
 
 from __future__ import annotations
@@ -56,6 +56,13 @@ def stepper(step: Callable, group: list[str], inputs: list[str], keep: list[str]
     return run
 
 
+def _with_markers(data: DataFrame, starts: DataFrame) -> DataFrame:
+    """Rows and start states together: these travel as marker rows, so there is no join and no split group."""
+    both = data.withColumn("_kind", F.lit(1)).unionByName(starts.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    # a NULL would turn an integer column into floats on the way through pandas
+    return both.na.fill(0, [f.name for f in both.schema.fields if f.dataType.typeName() == "long"])
+
+
 def sliced(rows: DataFrame, entries: DataFrame, key: str, order: list[str], state: list[str], initial: list,
            fold: Callable, schema: str, label: str) -> DataFrame:
     """Fold all slices from their predicted ``entries`` and repair wrong predictions.
@@ -63,29 +70,41 @@ def sliced(rows: DataFrame, entries: DataFrame, key: str, order: list[str], stat
     ``rows`` has the slice columns; ``entries`` has key, slice and the state
     columns for every slice; the fold's output has key, slice, the order
     columns and the state after each row.
+
+    A book with one row per slice holds the state it was started from and the one it ended with. While some slice was
+    not started from where the one before ended, the fold is done again from each wrong slice whose predecessor is not
+    wrong, for one slice in the first round and for twice as many in each further one, up to the next such slice; all
+    these at once. Slices beyond are not touched. So a fold that forgets its start reads few slices twice, and one that
+    never does ends after log2(slices) rounds that read each slice about twice in all.
     """
-    def with_markers(data: DataFrame, starts: DataFrame) -> DataFrame:
-        # start states travel as marker rows: no join, hence one shuffle and no split groups
-        both = data.withColumn("_kind", F.lit(1)).unionByName(
-            starts.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-        # a NULL would turn an integer column into floats on the way through pandas
-        return both.na.fill(0, [f.name for f in both.schema.fields if f.dataType.typeName() == "long"])
-
-    folded = cut(ordered(with_markers(rows, entries), [key, *SLICE], ["_kind", *order], fold, schema), label)
-    exits = folded.groupBy(key, *SLICE).agg(
-        F.max_by(F.struct(*state), F.struct(*order)).alias("_exit"))
-    previous = F.lag("_exit").over(Window.partitionBy(key).orderBy(*SLICE))
+    at = [key, *SLICE]
+    folded = cut(ordered(_with_markers(rows, entries), at, ["_kind", *order], fold, schema), label)
+    ends = F.max_by(F.struct(*state), F.struct(*order)).alias("_exit")
+    book = folded.groupBy(*at).agg(ends).join(entries.select(*at, F.struct(*state).alias("_used")), at).withColumn("_round", F.lit(0))
+    path = Window.partitionBy(key).orderBy(*SLICE)
     start = F.struct(*[F.lit(v).alias(c) for c, v in zip(state, initial)])
-    needed = exits.select(key, *SLICE, F.coalesce(previous, start).alias("_needed"))
-    wrong = (
-        entries.select(key, *SLICE, F.struct(*state).alias("_used")).join(needed, [key, *SLICE])
-        .where(~F.col("_used").eqNullSafe(F.col("_needed"))).select(key).distinct()
-    )
-    if wrong.isEmpty():
+    rounds, reach = [folded], 1
+    while True:
+        judged = book.withColumns({"_needed": F.coalesce(F.lag("_exit").over(path), start), "_n": F.row_number().over(path)})
+        judged = cut(judged.withColumn("_wrong", ~F.col("_used").eqNullSafe(F.col("_needed"))), f"{label}-book")
+        if judged.where("_wrong").isEmpty():
+            break
+        first = F.col("_wrong") & ~F.coalesce(F.lag("_wrong").over(path), F.lit(False))
+        heads = judged.withColumn("_first", first).withColumn("_head", F.max(F.when(F.col("_first"), F.col("_n"))).over(path.rowsBetween(Window.unboundedPreceding, 0)))
+        todo = cut(heads.where(F.col("_n") - F.col("_head") < reach).select(*at, "_n", "_head", "_needed"), f"{label}-todo")
+        markers = todo.where("_n = _head").select(*at, "_head", *[F.col("_needed")[c].alias(c) for c in state])
+        again = ordered(_with_markers(rows.join(todo.select(*at, "_head"), at), markers), [key, "_head"], ["_kind", *SLICE, *order], fold, schema)
+        rounds.append(cut(again, f"{label}-again"))
+        # within a repaired stretch each slice was started from where the one before ended
+        stretch = Window.partitionBy(key, "_head").orderBy(*SLICE)
+        fresh = rounds[-1].groupBy(*at).agg(ends).join(todo, at)
+        fresh = fresh.select(*at, F.struct(F.col("_exit"), F.coalesce(F.lag("_exit").over(stretch), "_needed").alias("_used"), F.lit(len(rounds) - 1).alias("_round")).alias("_new"))
+        merged = judged.join(fresh, at, "left")
+        book = merged.select(*at, *[F.when(F.col("_new").isNull(), F.col(c)).otherwise(F.col("_new")[c]).alias(c) for c in ("_exit", "_used", "_round")])
+        reach *= 2
+    if len(rounds) == 1:
         return folded
-    wrong = cut(wrong, label + "-wrong")
-    one = {c: F.lit(0).cast("bigint") for c in SLICE}
-    whole = rows.join(wrong, key, "left_semi").withColumns(one)
-    begin = wrong.withColumns({**one, **{c: F.lit(v) for c, v in zip(state, initial)}})
-    again = ordered(with_markers(whole, begin), [key, *SLICE], ["_kind", *order], fold, schema)
-    return cut(folded.join(wrong, key, "left_anti").unionByName(again), label)
+    out = rounds[0].withColumn("_round", F.lit(0))
+    for i, more in enumerate(rounds[1:], 1):
+        out = out.unionByName(more.withColumn("_round", F.lit(i)))
+    return out.join(judged.select(*at, "_round"), [*at, "_round"], "left_semi").drop("_round")
