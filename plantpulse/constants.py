@@ -56,6 +56,7 @@ WATERMARK_DELAY = "10 seconds"
 WINDOW_LENGTH = "1 minute"
 LAKE_FLUSH = "60 seconds"
 POINT_FLUSH = "5 seconds"
+POINT_BATCH, POINT_SECONDS = 50, 5.0
 
 # Characters that Python's str.strip() removes (SQL TRIM removes blanks only).
 WHITESPACE = (

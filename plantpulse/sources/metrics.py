@@ -24,11 +24,11 @@ def _field(name: str, column: str, kind: str) -> Column:
 
 
 def to_line_protocol(df: DataFrame, measurement: str, tags: list[str], fields: dict[str, tuple[str, str]],
-                     time_col: str) -> DataFrame:
-    """One text line per row. ``fields``: name -> (column, kind). NULL fields are left out."""
+                     time_col: str, keep: list[str] | None = None) -> DataFrame:
+    """One text line per row, beside the columns ``keep``. ``fields``: name -> (column, kind). NULL fields are left out."""
     tag_text = F.concat_ws(",", F.lit(measurement), *[F.concat(F.lit(f"{t}="), escape_tag(t)) for t in tags])
     field_text = F.concat_ws(",", *[_field(n, c, kind) for n, (c, kind) in fields.items()])
-    return df.select(F.concat_ws(" ", tag_text, field_text, epoch_seconds(time_col).cast("string")).alias("value"))
+    return df.select(*(keep or []), F.concat_ws(" ", tag_text, field_text, epoch_seconds(time_col).cast("string")).alias("value"))
 
 
 def machine_stats_lines(stats: DataFrame) -> DataFrame:
@@ -38,10 +38,10 @@ def machine_stats_lines(stats: DataFrame) -> DataFrame:
         "count": ("count_readings", INTEGER), "alert": ("alert", INTEGER)}, "window_start")
 
 
-def reading_lines(clean: DataFrame) -> DataFrame:
+def reading_lines(clean: DataFrame, keep: list[str] | None = None) -> DataFrame:
     unit = clean.withColumn("unit_original", F.coalesce("unit_original", F.lit("C")))
     return to_line_protocol(unit, "sensor_reading", ["device_id", "unit_original"], {
-        "temperature_c": ("temperature_c", FLOAT), "ingested_at": ("_ingested_at", INTEGER)}, "event_time")
+        "temperature_c": ("temperature_c", FLOAT), "ingested_at": ("_ingested_at", INTEGER)}, "event_time", keep)
 
 
 def post_lines(lines: DataFrame, send: Callable[[list[str]], None], batch: int = 5000) -> None:

@@ -16,6 +16,7 @@ from plantpulse.operators.routing import route
 from plantpulse.operators.windows import window_stats
 from plantpulse.sources.metrics import failed_deliveries, machine_stats_lines, reading_lines, write_routed, write_tagged
 from plantpulse.sources.topics import parse_topic, with_event_time
+from plantpulse.streaming.flush import gathered_points
 
 
 def _start(df: DataFrame, write: Callable[[DataFrame, str], None], path: str, checkpoint: str, interval: str | None,
@@ -53,13 +54,20 @@ def metric_stream(clean: DataFrame, path: str, checkpoint: str, interval: str |
                   interval)
 
 
+def gathered_stream(clean: DataFrame, path: str, checkpoint: str, size: int = C.POINT_BATCH, seconds: float = C.POINT_SECONDS,
+                    shards: int = 8, interval: str = "1 second") -> StreamingQuery:
+    """Readings as batches of points that are full or due, as JSON rows; see ``gathered_points``."""
+    timed = with_event_time(clean)
+    return _start(gathered_points(timed, size, seconds, shards), lambda b, p: b.write.mode("overwrite").json(p), path, checkpoint, interval)
+
+
 def delivery_stream(clean: DataFrame, send: Callable[[list[str]], None], failed: str, checkpoint: str,
-                    interval: str | None = None) -> StreamingQuery:
+                    interval: str | None = None, batch: int = 5000) -> StreamingQuery:
     """Window statistics sent by ``send`` as line-protocol text; lines it failed on are kept below ``failed`` with the error.
 
     A failed call is a row there, not a failed job. A replayed micro-batch sends its lines again.
     """
-    return _start(stats_stream(clean), lambda b, p: failed_deliveries(machine_stats_lines(b), send).write.mode("overwrite").json(p),
+    return _start(stats_stream(clean), lambda b, p: failed_deliveries(machine_stats_lines(b), send, batch).write.mode("overwrite").json(p),
                   failed, checkpoint, interval)
 
 
