@@ -9,8 +9,7 @@ from pyspark.sql import types as T
 from plantpulse import constants as C
 from plantpulse.functions import partition_columns, partitions_of_path
 from plantpulse.schemas import LAKE
-
-PARTITIONS = ("year", "month", "day", "hour")
+from plantpulse.sources.compaction import PARTITIONS, active_files, compact, latest_version
 
 
 def with_partitions(df: DataFrame, partition_by: str = "event", clock: Column | None = None) -> DataFrame:
@@ -44,9 +43,11 @@ def read_lake(spark: SparkSession, path: str, start: str | None = None, end: str
               schema: T.StructType = LAKE) -> DataFrame:
     """Lake rows with string partitions. ``start`` / ``end`` are hours like ``2026-03-11 05``.
 
-    They become predicates on the partition columns, so only those folders are read.
+    They become predicates on the partition columns, so only those folders are read. Of a compacted lake, the files in
+    force under its latest manifest are read.
     """
-    rows = spark.read.schema(schema).json(path)
+    compacted = latest_version(spark, path) is not None
+    rows = active_files(spark, path).read(spark, path, schema) if compacted else spark.read.schema(schema).json(path)
     hour = F.concat_ws(" ", F.concat_ws("-", "year", "month", "day"), "hour")
     if start is not None:
         rows = rows.where(hour >= start)
@@ -55,6 +56,11 @@ def read_lake(spark: SparkSession, path: str, start: str | None = None, end: str
     return rows.where("temperature_c IS NOT NULL AND device_id IS NOT NULL")
 
 
+def compact_lake(spark: SparkSession, path: str, least_files: int = 2, small_bytes: int = 64 << 20) -> int | None:
+    """Merge the small files of each hour that has several; the manifest version that names the new files, if any."""
+    return compact(spark, path, LAKE, least_files, small_bytes)
+
+
 def lake_inventory(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """One row per lake file. Only file metadata is listed, no file is opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)

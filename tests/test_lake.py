@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantpulse.operators import routing, unify, windows
-from plantpulse.sources import lake, metrics, topics
+from plantpulse.sources import compaction, lake, metrics, topics
 
 BASE = 1773187200
 
@@ -119,3 +119,65 @@ def test_post_lines_in_batches(spark, tmp_path):
 def test_topic_round_trip_is_tolerant(spark, clean):
     records = topics.to_topic_records(clean.drop("event_time")).select("value")
     assert topics.clean_topic(records).drop("_corrupt").exceptAll(clean.drop("event_time")).count() == 0
+
+
+# --- compaction ---------------------------------------------------------------
+
+def parts(clean, path, n=4):
+    for i in range(n):
+        lake.write_lake(clean.where(F.pmod(F.xxhash64("ts"), F.lit(n)) == i).coalesce(1), path)
+
+
+def lake_rows(spark, path):
+    return sorted(map(tuple, lake.read_lake(spark, path).collect()))
+
+
+def test_compaction_keeps_the_rows(spark, clean, tmp_path, monkeypatch):
+    path = str(tmp_path / "l")
+    parts(clean, path)
+    before = lake_rows(spark, path)
+    many = len(compaction.active_files(spark, path).plain)
+    # a compaction that stops before its manifest changes nothing
+    monkeypatch.setattr(compaction, "_publish", lambda *args: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        lake.compact_lake(spark, path)
+    assert lake_rows(spark, path) == before and compaction.latest_version(spark, path) is None
+    monkeypatch.undo()
+    old = lake.read_lake(spark, path)  # a reader that began before
+    assert lake.compact_lake(spark, path) == 1
+    now = compaction.active_files(spark, path)
+    assert now.plain == [] and many == 48 and sum(map(len, now.compacted.values())) == 12
+    assert lake_rows(spark, path) == before == sorted(map(tuple, old.collect()))
+    assert lake.compact_lake(spark, path) is None
+
+
+def test_rows_added_after_a_compaction_are_read(spark, clean, tmp_path):
+    path = str(tmp_path / "l")
+    parts(clean.where("device_id != 'm1'"), path)
+    lake.compact_lake(spark, path)
+    parts(clean.where("device_id = 'm1'"), path, 2)
+    want = sorted(map(tuple, lake.read_lake(spark, path).drop("x").collect()))
+    assert len(want) == 4000
+    assert lake.compact_lake(spark, path) == 2 and lake_rows(spark, path) == want
+    some = lake.read_lake(spark, path, "2026-03-11 02", "2026-03-11 03")
+    assert some.count() == 720 and some.select(F.input_file_name().alias("f")).distinct().count() == 2
+
+
+def test_vacuum_deletes_what_nobody_reads(spark, clean, tmp_path):
+    path = str(tmp_path / "l")
+    parts(clean, path, 2)
+    before = lake_rows(spark, path)
+    lake.compact_lake(spark, path)
+    assert compaction.vacuum(spark, path) == 0
+    assert compaction.vacuum(spark, path, "0 seconds") == 24
+    assert lake_rows(spark, path) == before and not list((tmp_path / "l" / "year=2026").rglob("*.json"))
+
+
+def test_two_compactions_do_not_both_count(spark, clean, tmp_path):
+    path = str(tmp_path / "l")
+    parts(clean, path, 2)
+    before = lake_rows(spark, path)
+    lake.compact_lake(spark, path)
+    with pytest.raises(RuntimeError):
+        compaction._publish(spark, path, compaction.manifest(spark, path, 1), 1)
+    assert lake_rows(spark, path) == before
