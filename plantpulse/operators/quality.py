@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.functions import quality_grade, round_half_up, to_celsius
-from plantpulse.operators.fleet import hottest_device, top_n
+from plantpulse.operators.fleet import top_n
 
 
 def reject_reasons(dlq: DataFrame) -> DataFrame:
@@ -82,13 +82,18 @@ def estimated_integrity(verified: DataFrame, dlq: DataFrame) -> DataFrame:
 
 def executive_summary(stats: DataFrame, raw: DataFrame, clean: DataFrame, invalid: DataFrame,
                       cold: DataFrame) -> DataFrame:
-    """One row over all stores. The parts are scalar subqueries, not a product of tables."""
+    """One row over all stores, each read once. The parts are scalar subqueries, not a product of tables."""
     total = lambda df: df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = stats.agg(
-        F.count(F.lit(1)).alias("ventanas"), F.count_if(F.col("alert") == 1).alias("ventanas_alerta"),
-        F.round(F.avg("avg_temp_c"), 6).alias("temp_media_global"))
+    # one row per device carries what the fleet's figures and the hottest device need
+    mean = F.avg("avg_temp_c").alias("_mean")
+    devices = stats.groupBy("device_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("alert") == 1).alias("_a"), F.sum("avg_temp_c").alias("_sum"), F.count("avg_temp_c").alias("_t"), mean)
+    # of equally hot devices the first name, as max_by takes the greatest of what it orders by
+    hottest = F.min_by("device_id", F.struct(-F.col("_mean"), "device_id"))
+    hot = devices.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("ventanas"), F.coalesce(F.sum("_a"), F.lit(0)).alias("ventanas_alerta"),
+        F.round(F.try_divide(F.sum("_sum"), F.sum("_t")), 6).alias("temp_media_global"), hottest.alias("maquina_mas_caliente"))
     row = hot.withColumns({
-        "maquina_mas_caliente": hottest_device(stats).select("device_id").scalar(),
         "raw": total(raw), "clean": total(clean), "invalid": total(invalid),
         # both counts of the cold side come out of one scan
         "_cold": cold.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count("temperature_c").alias("t"))).scalar(),

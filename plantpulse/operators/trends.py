@@ -105,6 +105,85 @@ def pairwise_corr(stats: DataFrame, devices_per_block: int = 256, slice_seconds:
     return total.select("machine_a", "machine_b", F.col("n").cast("bigint").alias("n"), corr.alias("corr"))
 
 
+def _signs(times: np.ndarray, size: int) -> np.ndarray:
+    """A row of ``size`` signs per time, the same wherever that time stands."""
+    words = (times.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)) ^ (np.arange(size // 64, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        words = (words ^ (words >> np.uint64(shift))) * np.uint64(factor)
+    words ^= words >> np.uint64(31)
+    bits = np.unpackbits(words.view(np.uint8).reshape(len(times), -1), axis=1)
+    return bits.astype(np.float32) * 2 - 1
+
+
+def series_sketches(means: DataFrame, size: int = 512, slice_seconds: int = chunks.DAY) -> DataFrame:
+    """(device_id, sketch): random projections of each device's standardized series to ``size`` numbers, of length 1.
+
+    The inner product of two sketches estimates the correlation of the series, with an error of about 1 / sqrt(size).
+    ``means`` has device_id, t (seconds) and v. A task projects one day of a device; the days are then added up.
+    """
+    scale = means.groupBy("device_id").agg(F.avg("v").alias("_m"), F.stddev_pop("v").alias("_s")).where("_s > 0")
+    scaled = means.join(scale, "device_id").select("device_id", "t", ((F.col("v") - F.col("_m")) / F.col("_s")).alias("z"), F.floor(F.col("t") / slice_seconds).alias("_slice"))
+
+    def project(pdf: pd.DataFrame) -> pd.DataFrame:
+        made = pdf["z"].to_numpy(np.float32) @ _signs(pdf["t"].to_numpy(), size)
+        return pd.DataFrame({"device_id": [pdf["device_id"].iat[0]], "part": [made.astype(float)]})
+
+    parts = scaled.groupBy("device_id", "_slice").applyInPandas(project, "device_id STRING, part ARRAY<DOUBLE>")
+    zeros = F.array_repeat(F.lit(0.0), size)
+    whole = parts.groupBy("device_id").agg(F.aggregate(F.collect_list("part"), zeros, lambda s, x: F.zip_with(s, x, lambda a, b: a + b)).alias("sketch"))
+    length = F.sqrt(F.aggregate("sketch", F.lit(0.0), lambda s, x: s + x * x))
+    return whole.withColumn("_l", length).where("_l > 0").select("device_id", F.transform("sketch", lambda x: (x / F.col("_l")).cast("float")).alias("sketch"))
+
+
+def correlation_candidates(sketches: DataFrame, wanted: int, rows: int = 2_048, columns: int = 65_536) -> DataFrame:
+    """(device_id, other): for each device the ``wanted`` others whose sketches are nearest to its own.
+
+    A group holds ``rows`` devices and ``columns`` others, multiplies their sketches and gives out ``wanted`` rows a device;
+    the best of all groups stay. So the output grows with the devices, and no pair is a row unless it is among the best.
+    """
+    devices = sketches.count()
+    tall, wide = max(1, -(-devices // rows)), max(1, -(-devices // columns))
+    place = F.xxhash64("device_id")
+    left = sketches.select("device_id", "sketch", F.pmod(place, F.lit(tall)).cast("int").alias("_a"), F.explode(F.sequence(F.lit(0), F.lit(wide - 1))).alias("_b"))
+    right = sketches.select("device_id", "sketch", F.explode(F.sequence(F.lit(0), F.lit(tall - 1))).alias("_a"), F.pmod(place, F.lit(wide)).cast("int").alias("_b"))
+
+    def best(mine: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(mine) and len(others):
+            own, names = np.stack(mine["sketch"]), others["device_id"].to_numpy()
+            near = own @ np.stack(others["sketch"]).T
+            near[mine["device_id"].to_numpy()[:, None] == names[None, :]] = -np.inf
+            top = np.argpartition(-near, min(wanted, near.shape[1]) - 1, axis=1)[:, :wanted]
+            at = np.repeat(np.arange(len(mine)), top.shape[1])
+            found = pd.DataFrame({"device_id": mine["device_id"].to_numpy()[at], "other": names[top.ravel()], "near": near[at, top.ravel()].astype(float)})
+            out.append(found[np.isfinite(found["near"])])
+        return pd.concat(out) if out else pd.DataFrame({"device_id": [], "other": [], "near": []})
+
+    met = left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInPandas(best, "device_id STRING, other STRING, near DOUBLE")
+    order = Window.partitionBy("device_id").orderBy(F.desc("near"), "other")
+    return met.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= wanted).select("device_id", "other")
+
+
+def top_correlated(stats: DataFrame, k: int = 10, oversample: int = 4, size: int = 512) -> DataFrame:
+    """The ``k`` devices that correlate most with each device over their common minutes: device_id, rank, other, n, corr.
+
+    Where all pairs are too many: sketches give ``k * oversample`` candidates a device, whose correlation is then computed
+    exactly, each pair once. Ties go to the smaller name. A device whose values never change has no partners.
+    """
+    means = cut(stats.groupBy("device_id", TS).agg(F.avg("avg_temp_c").alias("v")).where("v IS NOT NULL").select(
+        "device_id", F.unix_seconds(F.col(TS).cast("timestamp")).alias("t"), (F.col("v") - SHIFT).alias("v")), "corr-means")
+    candidates = correlation_candidates(cut(series_sketches(means, size), "corr-sketches"), k * oversample)
+    pairs = candidates.select(F.least("device_id", "other").alias("a"), F.greatest("device_id", "other").alias("b")).distinct()
+    pairs = cut(pairs, "corr-pairs")
+    side = lambda name, value: means.select(F.col("device_id").alias(name), "t", F.col("v").alias(value))
+    met = pairs.join(side("a", "x"), "a").join(side("b", "y"), ["b", "t"])
+    exact = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("corr")).where("corr IS NOT NULL AND NOT isnan(corr)")
+    ends = F.explode(F.array(F.struct(F.col("a").alias("device_id"), F.col("b").alias("other")), F.struct(F.col("b").alias("device_id"), F.col("a").alias("other"))))
+    both = exact.select(ends.alias("_p"), "n", "corr").select("_p.*", "n", "corr")
+    order = Window.partitionBy("device_id").orderBy(F.desc("corr"), "other")
+    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("device_id", "rank", "other", "n", "corr")
+
+
 def corr_with(stats: DataFrame, device: str) -> DataFrame:
     """Correlation of one device with each other one: as many rows as devices, where all pairs are too many."""
     own = stats.where(F.col("device_id") == device).select("window_start", F.col("avg_temp_c").alias("_own"))

@@ -179,3 +179,85 @@ def _(t):
 def _forest_of_range(t):
     """Training rows of the last two hours, as the training call takes them by default."""
     return forest.IsolationForestJob(contamination=0.1).fit(fleet.metric_range(t.stats, 120))
+
+
+@query("ml2_top_correlated", f"""
+SELECT device_id, CAST(row_number() OVER (PARTITION BY device_id ORDER BY c DESC, other) AS INTEGER) AS rank, other, n, {r6('c')} AS corr
+FROM (SELECT a.device_id, b.device_id AS other, count(*) AS n, corr(a.avg_temp_c, b.avg_temp_c) AS c
+      FROM machine_stats a JOIN machine_stats b ON a.window_start = b.window_start AND a.device_id <> b.device_id GROUP BY 1, 2)
+QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY c DESC, other) <= 3""")
+def _(t):
+    return trends.top_correlated(t.stats, k=3)
+
+
+@query("ml9_device_codes", """
+SELECT device_id, CAST(row_number() OVER (ORDER BY device_id) - 1 AS DOUBLE) AS device_enc FROM (SELECT DISTINCT device_id FROM machine_stats)""")
+def _(t):
+    return learners.device_codes(t.stats)
+
+
+@query("ml9_confusion")
+def _(t):
+    return learners.alert_classifier(t.stats)["confusion"]
+
+
+@query("ml9_importances")
+def _(t):
+    return learners.alert_classifier(t.stats)["importances"]
+
+
+@query("ml10_centroids")
+def _(t):
+    return learners.cluster_devices(t.stats)["centroids"]
+
+
+# The least sum of squares over all ways to deal the few devices of the table to three clusters, and its sizes.
+@query("ml10_best_partition", f"""SELECT * FROM (
+WITH features AS (
+  SELECT device_id, avg(avg_temp_c) AS mean_c, coalesce(stddev_samp(avg_temp_c), 0) AS std_c, max(avg_temp_c) AS max_c,
+         avg(CASE WHEN avg_temp_c > 80 THEN 1.0::DOUBLE ELSE 0 END) AS alert_rate FROM machine_stats GROUP BY device_id),
+scaled AS (
+  SELECT row_number() OVER (ORDER BY device_id) - 1 AS i, unnest([
+    (mean_c - avg(mean_c) OVER ()) / CASE WHEN stddev_pop(mean_c) OVER () > 0 THEN stddev_pop(mean_c) OVER () ELSE 1 END,
+    (std_c - avg(std_c) OVER ()) / CASE WHEN stddev_pop(std_c) OVER () > 0 THEN stddev_pop(std_c) OVER () ELSE 1 END,
+    (max_c - avg(max_c) OVER ()) / CASE WHEN stddev_pop(max_c) OVER () > 0 THEN stddev_pop(max_c) OVER () ELSE 1 END,
+    (alert_rate - avg(alert_rate) OVER ()) / CASE WHEN stddev_pop(alert_rate) OVER () > 0 THEN stddev_pop(alert_rate) OVER () ELSE 1 END]) AS z,
+    unnest([0, 1, 2, 3]) AS j FROM features),
+ways AS (SELECT way, i, j, z, (way // CAST(pow(3, i) AS BIGINT)) % 3 AS c
+         FROM scaled, (SELECT unnest(range(0, CAST(pow(3, (SELECT count(*) FROM features)) AS BIGINT))) AS way)),
+sums AS (SELECT way, c, j, count(*) AS n, sum(z * z) - sum(z) * sum(z) / count(*) AS d FROM ways GROUP BY ALL),
+costs AS (SELECT way, sum(d) AS d FROM sums GROUP BY way HAVING count(DISTINCT c) = least(3, (SELECT count(*) FROM features))),
+best AS (SELECT way FROM costs ORDER BY d, way LIMIT 1)
+SELECT array_to_string(list_sort(list(n)), ',') AS sizes, {r6('sum(d)')} AS inertia
+FROM (SELECT c, any_value(n) AS n, sum(d) AS d FROM sums JOIN best USING (way) GROUP BY c))""")
+def _(t):
+    # with more starts than by default, all of which move in the same passes
+    sizes = learners.cluster_devices(t.stats, n_init=32)["sizes"]
+    return sizes.agg(F.array_join(F.array_sort(F.collect_list("devices")), ",").alias("sizes"), F.sum("inertia").alias("inertia"))
+
+
+@query("ml6_sweep_from_leaves", "SELECT CAST(unnest(range(40, 101, 5)) AS DOUBLE) AS avg_temp_c, true AS agrees")
+def _(t):
+    # the score again, by joining each temperature with the leaves that hold it, against the model's step function
+    model = _forest(t)
+    curve = model.sweep(t.spark)
+    depth = curve.join(F.broadcast(model.leaves), F.col("avg_temp_c").between(F.col("lo"), F.col("hi")) & (F.col("avg_temp_c") > F.col("lo")))
+    found = depth.groupBy("avg_temp_c", "score").agg(F.avg("depth").alias("depth"), F.count_distinct("tree").alias("trees"))
+    again = -F.pow(F.lit(2.0), -F.col("depth") / float(forest._average_path(model.sample)))
+    return found.select("avg_temp_c", ((F.abs(again - F.col("score")) < 1e-9) & (F.col("trees") == 100)).alias("agrees"))
+
+
+@query("ml8_reload_agrees", "SELECT device_id, count(*) AS lecturas FROM machine_stats WHERE avg_temp_c IS NOT NULL GROUP BY device_id")
+def _(t):
+    path = t.folder("forest")
+    model = _forest(t)
+    model.save(path)
+    names = ["device_id", "window_start", "score", "is_anomaly", "interpretation"]
+    back = forest.ForestModel.load(t.spark, path).score(t.stats).select(*names)
+    both = model.score(t.stats).select(*names).intersectAll(back)
+    return both.groupBy("device_id").agg(F.count(F.lit(1)).alias("lecturas"))
+
+
+@query("api5_predict")
+def _(t):
+    return _forest(t).predict(t.spark, 95.0, "machine-001")

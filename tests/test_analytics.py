@@ -235,3 +235,30 @@ def test_pivot_round_trip(stats):
     wide = reshape.pivot_fields(reshape.to_long(stats))
     want = stats.select("device_id", F.col("window_start").alias("ts"), "avg_temp_c")
     assert wide.select("device_id", "ts", "avg_temp_c").exceptAll(want).count() == 0 and wide.count() == stats.count()
+
+
+def test_sketches_find_the_most_correlated_devices(spark):
+    """300 devices in groups that follow one signal each: recall against all pairs, and output linear in devices."""
+    rng = np.random.default_rng(4)
+    signals = rng.standard_normal((30, 600))
+    series = np.stack([signals[d % 30] * (1 + d % 3) + rng.standard_normal(600) * 0.8 + d for d in range(300)])
+    frame = pd.DataFrame({"device_id": np.repeat([f"d{d:03d}" for d in range(300)], 600), "m": np.tile(np.arange(600), 300), "avg_temp_c": series.ravel()})
+    gaps = rng.random(len(frame)) < 0.05
+    df = spark.createDataFrame(frame[~gaps]).select("device_id", F.timestamp_seconds(F.lit(1773187200) + F.col("m") * 60).alias("window_start"), "avg_temp_c")
+    got = trends.top_correlated(df, k=5).toPandas()
+    assert len(got) == 300 * 5 and got.groupby("device_id")["rank"].apply(list).map(lambda r: sorted(r) == [1, 2, 3, 4, 5]).all()
+    wide = frame[~gaps].pivot(index="m", columns="device_id", values="avg_temp_c").corr()
+    hit = total = 0
+    for device, part in got.groupby("device_id"):
+        true = wide[device].drop(device).sort_values(ascending=False)
+        hit, total = hit + len(set(part["other"]) & set(true.index[:5])), total + 5
+        assert np.allclose(part.sort_values("rank")["corr"], true[part.sort_values("rank")["other"]], atol=1e-9)
+    assert hit / total >= 0.99
+
+
+def test_sketches_of_constant_short_and_no_series(spark):
+    rows = [("flat", i, 5.0) for i in range(20)] + [("a", i, float(i)) for i in range(20)] + [("b", i, 2.0 * i + (i % 2)) for i in range(20)] + [("one", 3, 1.0)]
+    df = spark.createDataFrame(rows, "device_id STRING, m BIGINT, avg_temp_c DOUBLE").select("device_id", F.timestamp_seconds(F.lit(1773187200) + F.col("m") * 60).alias("window_start"), "avg_temp_c")
+    got = {(r.device_id, r.other): (r["rank"], r.n) for r in trends.top_correlated(df).collect()}
+    assert got == {("a", "b"): (1, 20), ("b", "a"): (1, 20)}
+    assert trends.top_correlated(df.limit(0)).count() == 0

@@ -108,3 +108,50 @@ def test_clusters_separate_hot_devices(spark):
     assert centers[0] == pytest.approx(61.15, abs=0.05) and centers[1] == pytest.approx(91.55, abs=0.05)
     with pytest.raises(ValueError):
         learners.cluster_devices(df, k=6)
+
+
+def test_device_codes_are_places_in_the_alphabet(spark, stats):
+    names = [f"d{i:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(n,) for n in names for _ in range(2)], "device_id STRING").repartition(5)
+    codes = learners.device_codes(df)
+    assert [(r.device_id, r.device_enc) for r in codes.orderBy("device_id").collect()] == [(n, float(i)) for i, n in enumerate(names)]
+    # only the table with a row per range is seen by one task
+    windows = [line for line in codes._jdf.queryExecution().executedPlan().toString().split("\n") if "Window" in line]
+    assert windows and not any("device_id" in line for line in windows)
+
+
+def test_all_starts_move_in_the_same_passes(spark, monkeypatch):
+    rows = [(f"m{d}", BASE + 60 * i, 50.0 + 15 * (d % 3) + d * 0.1 + (i % 4)) for d in range(12) for i in range(20)]
+    df = spark.createDataFrame(rows, "device_id STRING, s BIGINT, avg_temp_c DOUBLE").withColumn("window_start", F.timestamp_seconds("s"))
+    passes = []
+    original = learners._lloyd
+
+    def counted(points, centers, *rest):
+        passes.append(len(centers))
+        return original(points, centers, *rest)
+
+    monkeypatch.setattr(learners, "_lloyd", counted)
+    out = learners.cluster_devices(df, k=3, n_init=10)
+    assert passes == [10]
+    sizes = {r.cluster: (r.devices, r.inertia) for r in out["sizes"].collect()}
+    assert sorted(n for n, _ in sizes.values()) == [4, 4, 4]
+    means = [r.mean_c for r in out["centroids"].orderBy("cluster").collect()]
+    assert means == sorted(means)
+    # no assignment of one device to another cluster is better
+    points = {r.device_id: r for r in out["assignments"].collect()}
+    assert {points[f"m{d}"].cluster for d in (0, 3, 6, 9)} == {0}
+
+
+def test_equal_devices_make_one_cluster(spark):
+    rows = [(f"m{d}", BASE + 60 * i, 60.0) for d in range(4) for i in range(5)]
+    df = spark.createDataFrame(rows, "device_id STRING, s BIGINT, avg_temp_c DOUBLE").withColumn("window_start", F.timestamp_seconds("s"))
+    out = learners.cluster_devices(df, k=3)
+    assert out["sizes"].agg(F.sum("devices"), F.sum("inertia")).first() == (4, 0.0)
+
+
+def test_predict_one_reading(spark, model):
+    hot, usual = (model.predict(spark, v, "m7").first() for v in (140.0, 70.0))
+    assert hot.device_id == "m7" and hot.is_anomaly and not usual.is_anomaly
+    assert hot.score < usual.score and 0 <= usual.failure_prob < hot.failure_prob <= 1
+    sweep = {r.avg_temp_c: r.score for r in model.sweep(spark, 70, 70, 5).collect()}
+    assert usual.score == sweep[70.0]
