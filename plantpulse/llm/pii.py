@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.text import found, joined, located
+from plantpulse.llm.text import found, joined, located, overlapping
 from plantpulse.session import cut
 
 LOCAL = r"A-Za-z0-9._%+-"
@@ -25,8 +25,10 @@ KINDS = tuple(PATTERNS)
 WORD = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 #: What of such a word isn't the identifier: brackets, quotes and stops around it.
 RIM = "()[]{}<>\"'.,;:!?"
-#: Characters before an entity in which its context is looked for.
-REACH = 48
+#: Characters of the shortest identifier-like word that may be one ("5 of 12" has none).
+LEAST_WORD = 5
+#: Characters of the shortest match of each pattern.
+LEAST_SPAN = {"email": 3, "ip": 7, "card": 13, "phone": 3}
 
 
 def _digits(value: Column) -> Column:
@@ -58,12 +60,13 @@ def context(before: Column, start: Column) -> Column:
 
     Where a line starts with a single word and the entity follows, that word behind a line feed, which stands for the
     line's start, is the pattern. ``before`` ends at ``start`` and reaches to the text's start if it is as long. Null if
-    there is neither.
+    there is neither. Words of any length count.
     """
-    near = F.substring(F.when(F.length(before) == start, F.concat(F.lit("\n"), before)).otherwise(before), -REACH, REACH)
-    two = F.regexp_extract(near, r"(?<!\p{L})(\p{L}+[^\p{L}\n0-9@]{1,3}\p{L}+[^\p{L}\n0-9@]{1,3})$", 1)
-    one = F.regexp_extract(near, r"\n[^\p{L}\n0-9@]{0,3}(\p{L}+[^\p{L}\n0-9@]{1,3})$", 1)
-    return F.when(two != "", F.lower(two)).when(one != "", F.concat(F.lit("\n"), F.lower(one)))
+    line = F.substring_index(before, "\n", -1)
+    whole = (F.length(before) == start) | before.contains("\n")
+    two = F.regexp_extract(line, r"(?<!\p{L})(\p{L}++[^\p{L}\n0-9@]{1,3}\p{L}++[^\p{L}\n0-9@]{1,3})$", 1)
+    one = F.regexp_extract(line, r"^[^\p{L}\n0-9@]{0,3}(\p{L}++[^\p{L}\n0-9@]{1,3})$", 1)
+    return F.when(two != "", F.lower(two)).when(whole & (one != ""), F.concat(F.lit("\n"), F.lower(one)))
 
 
 def _valid(kind: str) -> Column:
@@ -89,7 +92,7 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     got = got.select("_row", "_id", "_word", *right)
     base = F.concat(*[_as(n, lambda s: (s["start"], s["end"])) for n in range(len(KINDS))])
     seeds = F.concat(*[_as(n, lambda s: (s["value"], context(s["before"], s["start"]).alias("ctx"))) for n in range(len(KINDS))])
-    got = got.withColumn("base", F.array_sort(base)).withColumn("seeds", F.filter(seeds, lambda s: s["ctx"].isNotNull()))
+    got = got.withColumn("seeds", F.filter(seeds, lambda s: s["ctx"].isNotNull())).withColumn("base", F.array_sort(base))
 
     def trimmed(s: Column) -> Column:
         """The word without its rim; its context includes a bracket or quote before it."""
@@ -97,8 +100,9 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         value = F.btrim(s["value"], F.lit(RIM))
         return F.struct((s["start"] + lead).alias("start"), (s["start"] + lead + F.length(value)).alias("end"), value.alias("value"), context(s["before"], s["start"]).alias("ctx"))
 
-    words = F.filter(F.transform("_word", trimmed), lambda s: F.length(s["value"]) >= 5)
-    free = F.filter(words, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    words = F.filter(F.transform("_word", trimmed), lambda s: F.length(s["value"]) >= LEAST_WORD)
+    met = lambda k, s: F.size(overlapping(F.col(f"_{k}"), s["start"], s["end"], LEAST_SPAN[k]))
+    free = F.filter(words, lambda s: sum((met(k, s) for k in KINDS[1:]), met(KINDS[0], s)) == 0)
     return got.select("_row", "_id", "base", "seeds", free.alias("words"))
 
 
@@ -141,7 +145,8 @@ def find_pii(
     Fixed patterns find the seeds (email, IP address, payment card, phone number). The two words before a seed are
     a lexical pattern, or the one word between a line's start and it; patterns and the identifier-like words that follow
     them form a graph, which is scored for ``rounds`` rounds over the whole corpus (see bootstrap). Words that follow a
-    pattern of high confidence get that pattern's kind wherever they occur; they overlap no base span. The graph holds each pair once, so frequent pairs weigh nothing, and
+    pattern of high confidence get that pattern's kind wherever they occur; they have a digit or an @ and at least
+    LEAST_WORD characters, and overlap no base span. The graph holds each pair once, so frequent pairs weigh nothing, and
     its hot contexts are combined before each exchange.
 
     Null texts count as empty and have no spans. Repeated rows get the same spans, each for itself. Positions are code

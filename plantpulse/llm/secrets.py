@@ -9,13 +9,15 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.text import found, joined, located, running_sum
+from plantpulse.llm.text import found, joined, located, overlapping, running_sum
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
 #: kind -> (pattern, least length). Runs are matched from their start only, which long texts need.
 BASE = {"assign": (ASSIGN, 0), "access": (r"AKIA[A-Z0-9]++", 20), "hex": (r"(?<![0-9a-f])[0-9a-f]{24,}+", 24)}
 #: Least characters of the value of an assignment.
 LEAST_VALUE = 6
+#: Characters of the shortest span of a fixed pattern.
+LEAST_SPAN = len("token=") + LEAST_VALUE
 #: Strings of 20 or more characters of keys and codes with a digit and a letter among them.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
 #: Character class -> (pattern, least bits per character in a window).
@@ -34,34 +36,40 @@ def _f(n: Column) -> Column:
     return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
 
 
-def _count(window: Column, char: Column) -> Column:
-    return F.length(window) - F.length(F.replace(window, char, F.lit("")))
+def codes_of(value: Column) -> Column:
+    return F.transform(F.split(value, ""), lambda c: F.ascii(c))
 
 
-def hot_range(value: Column, window: int, least: Column) -> Column:
+def hot_range(codes: Column, window: int, least: Column) -> Column:
     """struct<lo, hi>: from the first to the last window of at least ``least`` bits per character; hi 0 if there is none.
 
-    The sum of n log n over a window's character counts is carried from window to window: the character that leaves
-    and the one that enters change it by their counts alone.
+    ``codes`` are a string's characters, taken apart once. With each character of a window goes its count there, and with
+    the window the sum of n log n over its counts: a step takes the first character off, adds the next one, and changes the
+    counts and the sum by these two alone. So the time is in proportion to the length. Both arguments are read in every
+    step and should be stored columns or fields, not expressions over the whole string.
     """
-    first = F.substring(value, 1, window)
-    chars = F.array_distinct(F.split(first, ""))
-    start = F.aggregate(chars, F.lit(0.0), lambda s, c: s + _f(_count(first, c)))
+    first = F.slice(codes, 1, window)
+    entry = lambda c, n: F.struct(c.alias("c"), n.cast("int").alias("n"))
+    held = F.transform(first, lambda c: entry(c, F.size(F.filter(first, lambda d: d == c))))
+    # each of n equal characters has its n-th part of n log n
+    start = F.aggregate(held, F.lit(0.0), lambda s, x: s + F.log2(x["n"].cast("double")))
     bits = lambda s: F.lit(math.log2(window)) - s / window
 
-    def noted(s: Column, i: Column, lo: Column, hi: Column) -> Column:
+    def noted(held: Column, s: Column, i: Column, lo: Column, hi: Column) -> Column:
         hot = bits(s) >= least
-        return F.struct(s.alias("s"), F.when(hot & (hi == 0), i).otherwise(lo).alias("lo"), F.when(hot, i + window).otherwise(hi).alias("hi"))
-
-    def slide(state: Column, i: Column) -> Column:
-        inner = F.substring(value, i + 1, F.lit(window - 1))  # what the windows from i - 1 and from i share
-        left, came = F.substring(value, i, F.lit(1)), F.substring(value, i + window, F.lit(1))
-        a, b = _count(inner, left), _count(inner, came)
-        return noted(state["s"] - _f(a + 1) + _f(a) + _f(b + 1) - _f(b), i, state["lo"], state["hi"])
-
-    steps = F.length(value) - window
-    begun = noted(start, F.lit(0), F.lit(0), F.lit(0))
-    done = F.when(steps > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), begun, slide)).otherwise(begun)
+        return F.struct(held.alias("w"), s.alias("s"), i.alias("i"), F.when(hot & (hi == 0), i).otherwise(lo).alias("lo"), F.when(hot, i + window).otherwise(hi).alias("hi"))
+
+    def slide(state: Column, came: Column) -> Column:
+        gone = F.get(state["w"], F.lit(0))
+        rest = F.slice(state["w"], 2, window - 1)
+        change = lambda c: (c == came).cast("int") - (c == gone["c"]).cast("int")
+        like = F.get(F.filter(rest, lambda x: x["c"] == came), F.lit(0))["n"]
+        there = F.when(like.isNull(), F.lit(0)).otherwise(like - (came == gone["c"]).cast("int"))
+        held = F.concat(F.transform(rest, lambda x: entry(x["c"], x["n"] + change(x["c"]))), F.array(entry(came, there + 1)))
+        return noted(held, state["s"] - _f(gone["n"]) + _f(gone["n"] - 1) - _f(there) + _f(there + 1), state["i"] + 1, state["lo"], state["hi"])
+
+    more = F.slice(codes, F.lit(window + 1), F.greatest(F.size(codes) - window, F.lit(0)))
+    done = F.aggregate(more, noted(held, start, F.lit(0), F.lit(0), F.lit(0)), slide)
     return F.struct(done["lo"].alias("lo"), done["hi"].alias("hi"))
 
 
@@ -76,7 +84,7 @@ def _open_pieces(s: Column, window: int, allow: tuple[str, ...]) -> Column:
     parts = F.split(s["value"], "[/=]", -1)
     ends = running_sum(F.transform(parts, lambda p: F.length(p) + 1))
     free = F.filter(F.arrays_zip(parts.alias("p"), ends.alias("e")), lambda x: fits(x["p"], "{}"))
-    known = F.filter("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    known = F.concat(*[overlapping(F.col(f"_{k}"), s["start"], s["end"], LEAST_SPAN) for k in BASE])
     blocks = F.concat(
         F.transform(known, lambda b: block(F.greatest(b["start"] - s["start"], F.lit(0)), F.least(b["end"], s["end"]) - s["start"])),
         F.transform(free, lambda x: block(x["e"] - 1 - F.length(x["p"]), x["e"] - 1)),
@@ -121,13 +129,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def spans_of(kind: str) -> Column:
         return F.transform(long_enough(kind), lambda s: span(kind, s))
 
-    base = F.concat(*[spans_of(k) for k in BASE])
-    got = got.select("_id", F.array_sort(base).alias("base"), "_entropy")
+    got = got.select("_id", "_entropy", *[spans_of(k).alias(f"_{k}") for k in BASE])
+    got = got.withColumn("base", F.array_sort(F.concat(*[f"_{k}" for k in BASE])))
     least = lambda v: F.coalesce(*[F.when(v.rlike(p), F.lit(b)) for p, b in CLASSES.values()])
     opened = F.flatten(F.transform("_entropy", lambda s: _open_pieces(s, window, allow)))
     got = got.select("_id", "base", opened.alias("_open"))
     unknown = F.filter("_open", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    scanned = F.transform(unknown, lambda s: F.struct(s["start"].alias("start"), hot_range(s["value"], window, least(s["value"])).alias("r")))
+    apart = F.transform(unknown, lambda s: F.struct(s["start"].alias("start"), codes_of(s["value"]).alias("codes"), least(s["value"]).alias("least")))
+    scanned = F.transform(apart, lambda s: F.struct(s["start"].alias("start"), hot_range(s["codes"], window, s["least"]).alias("r")))
     hot = F.transform(F.filter(scanned, lambda s: s["r"]["hi"] > 0), lambda s: span("entropy", s, s["r"]["lo"], s["r"]["hi"]))
     return got.select(F.col("_id").alias(id_col), "base", F.array_sort(F.concat("base", hot)).alias("spans"))
 

@@ -57,6 +57,26 @@ def located(text: Column, values: Column, pattern: str) -> Column:
     return F.when(F.size(values) > 0, spans).otherwise(empty)
 
 
+def overlapping(spans: Column, start: Column, end: Column, least: int) -> Column:
+    """Those of ``spans`` that overlap [start, end). They are sorted, don't overlap each other, and are ``least`` long at least.
+
+    The first one is found by halving, and only as many are looked at from there as fit into the range, so a text may have
+    any number of spans and of ranges.
+    """
+    turns = F.sequence(F.lit(1), F.length(F.bin(F.size(spans).cast("long"))))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        over = F.get(spans, middle)["end"] <= start
+        return F.when(state["lo"] >= state["hi"], state).otherwise(
+            F.struct(F.when(over, middle + 1).otherwise(state["lo"]).alias("lo"), F.when(over, state["hi"]).otherwise(middle).alias("hi")))
+
+    begun = F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi"))
+    first = F.aggregate(turns, begun, halve, lambda state: state["lo"])
+    some = F.slice(spans, first + 1, F.floor((end - start) / least).cast("int") + 2)
+    return F.filter(some, lambda x: (x["start"] < end) & (start < x["end"]))
+
+
 def joined(spans: Column, name: Callable[[Column], Column]) -> Column:
     """``kind:start:end`` of all spans, comma-joined in their order."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -2,11 +2,12 @@
 
 import math
 import random
+import time
 
 import pytest
 
 from plantpulse.llm import pii, secrets
-from plantpulse.llm.text import running_sum
+from plantpulse.llm.text import overlapping, running_sum
 from pyspark.sql import functions as F
 from tests.llm import brute
 
@@ -90,7 +91,7 @@ def entropy(s):
 def test_windows_are_counted_incrementally(spark, rows):
     rng = random.Random(8)
     data = [("".join(rng.choice("ab1c2d3e4f") if rng.random() < 0.7 else "a" for _ in range(rng.randrange(16, 60))),) for _ in range(60)]
-    got = rows(data, "v string").select("v", secrets.hot_range(F.col("v"), 16, F.lit(2.7)).alias("r")).collect()
+    got = rows(data, "v string").withColumn("c", secrets.codes_of(F.col("v"))).select("v", secrets.hot_range(F.col("c"), 16, F.lit(2.7)).alias("r")).collect()
     for r in got:
         hot = [i for i in range(len(r.v) - 15) if entropy(r.v[i : i + 16]) >= 2.7 - 1e-9]
         clear = [i for i in range(len(r.v) - 15) if abs(entropy(r.v[i : i + 16]) - 2.7) > 1e-6]
@@ -120,3 +121,51 @@ def test_secrets_beside_known_and_allowed_parts(spark, rows):
         assert len(spans) == 1 and spans[0][0] <= at + 2 and spans[0][1] >= at + 18, (text, got[i])
     assert got[1][-1].startswith("hex:") and got[3][0] == "hex:0:32"
     assert got[4] == got[5] == got[6] == [""]
+
+
+def test_long_random_strings_take_linear_time(spark, rows):
+    """A candidate of 200,000 characters is scanned in seconds."""
+    rng = random.Random(5)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    text = "".join(rng.choice(alphabet) for _ in range(200_000))
+    started = time.monotonic()
+    got = secrets.secret_digest(secrets.scan_secrets(rows([(1, text, "", 0, 0)], DOCS))).first()
+    assert time.monotonic() - started < 60
+    start, end = map(int, got.spans.split("entropy:")[1].split(",")[0].split(":"))
+    assert start < 50 and end > 199_950
+
+
+def test_many_identifiers_in_one_text(spark, rows):
+    """20,000 matches and as many words or candidates beside them: neither is held against all of the others."""
+    mails = " ".join(f"u{i}@h{i}.org id{i:07d}" for i in range(20_000))
+    started = time.monotonic()
+    got = pii.pii_digest(pii.find_pii(rows([(1, mails, "", 0, 0)], DOCS))).first()
+    assert got.n_email == 20_000 and time.monotonic() - started < 90
+    rng = random.Random(6)
+    keys = " ".join(f"{rng.getrandbits(128):032x}" for i in range(20_000))
+    started = time.monotonic()
+    got = secrets.secret_digest(secrets.scan_secrets(rows([(1, keys, "", 0, 0)], DOCS))).first()
+    assert got.n_hex == 20_000 and got.spans.count("entropy") == 0 and time.monotonic() - started < 90
+
+
+def test_overlapping_is_what_a_scan_finds(spark, rows):
+    rng = random.Random(7)
+    data = []
+    for _ in range(200):
+        at, spans = 0, []
+        for _ in range(rng.randrange(0, 12)):
+            at += rng.randrange(0, 6)
+            spans.append((at, at + rng.randrange(3, 9)))
+            at = spans[-1][1]
+        start = rng.randrange(0, 60)
+        data.append((spans, start, start + rng.randrange(1, 30)))
+    frame = rows(data, "s array<struct<start:int,end:int>>, a int, b int")
+    for r in frame.select("*", overlapping(F.col("s"), F.col("a"), F.col("b"), 3).alias("got")).collect():
+        assert [tuple(x) for x in r.got] == [tuple(x) for x in r.s if x.start < r.b and r.a < x.end]
+
+
+def test_contexts_reach_over_words_of_any_length(spark, rows):
+    word = "x" * 70
+    data = [(i, f"{word} contact user{i}@host{i}.org", "", 0, 0) for i in range(6)] + [(20, f"a {word} contact joe(at)site9", "", 0, 0), (21, f"b {word}y contact ann(at)site9", "", 0, 0)]
+    got = {r.doc_id: r.spans for r in pii.pii_digest(pii.find_pii(rows(data, DOCS))).collect()}
+    assert got[20] == f"email:{len(word) + 11}:{len(word) + 23}" and got[21] == ""
