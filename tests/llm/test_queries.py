@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as driver
 import corpus_pipeline
 from plantpulse.llm.queries import ORACLES, QUERIES
-from tests.llm import brute
+from tests.llm import brute, test_nearest, test_whitening
 from tests.llm.test_decontamination import brute as brute_hits
 from tests.llm.test_exact_and_lines import brute_lines
 from tests.llm.test_jaccard_join import brute as brute_links
@@ -95,3 +95,20 @@ def test_stages_keep_clashing_columns_and_odd_rows(spark):
         frame = stage(spark, docs, SF)
         assert frame.count() == 4
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_whitening_against_numpy(spark, con):
+    data = con.execute(f"SELECT vec_id, embedding FROM '{SF}/embeddings.parquet' ORDER BY vec_id").fetchall()
+    got, want = test_whitening.judged(QUERIES["op12_embedding_whitening"](spark, SF), [v for _, v in data])
+    test_whitening.same_up_to_sign(got, want)
+
+
+def test_nearest_against_brute_force(spark, con):
+    data = con.execute(f"SELECT vec_id, embedding FROM '{SF}/embeddings.parquet'").fetchall()
+    want, got = test_nearest.brute(data, 20), {}
+    for r in QUERIES["op13_nearest_neighbours"](spark, SF).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    assert test_nearest.recall(got, want) >= 0.9
+    scores = {(q, i): s for q, v in want.items() for i, s in v}
+    assert all(abs(s - scores[q, i]) < 1e-12 for q, v in got.items() for i, s in v if (q, i) in scores)
