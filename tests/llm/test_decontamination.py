@@ -58,10 +58,21 @@ def test_against_brute_force(spark, rows, seed, vocabulary):
     assert judged(got) == brute(docs, items)
 
 
-def test_blocks_of_items(spark, rows):
+def test_chunks_of_items(spark, rows):
     docs, items = made(5, 40, 15, 60)
     frame = rows(docs, "doc_id long, text string")
-    got = decontaminate(frame, rows(items, "item_id long, text string").coalesce(1), block_windows=40, keep=["doc_id"])
+    for chunk in (1, 7):
+        got = decontaminate(frame, rows(items, "item_id long, text string").coalesce(1), chunk=chunk, keep=["doc_id"])
+        assert judged(got) == brute(docs, items)
+
+
+def test_frequent_words_and_copies(spark, rows):
+    """One passage and one word in most documents, copies of a third of them, an item of many chunks and its copy."""
+    common = " ".join(f"c{i}" for i in range(10))
+    long = " ".join(f"x{i % 7} the y{i}" for i in range(1500))
+    items = [(1, common), (2, "the " * 12), (3, long), (4, long), (None, "the"), (5, common)]
+    docs = [(i, f"the {common} {'the ' * (i % 14)} {i}" if i % 3 else f"copy {common} x") for i in range(300)] + [(300, long), (301, long[:4000])]
+    got = decontaminate(rows(docs, "doc_id long, text string").repartition(5), rows(items, "item_id long, text string"), keep=["doc_id"])
     assert judged(got) == brute(docs, items)
 
 

@@ -53,7 +53,7 @@ def test_links(spark, texts):
 def test_all_are_registered():
     names = driver.queries()
     assert set(QUERIES) <= set(names) and names["pipeline"] is corpus_pipeline.run
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(driver.oracle_sql())
 
 
