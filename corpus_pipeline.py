@@ -29,12 +29,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates. Rows alike in identifier and text are one document, once."""
-    gone = near_duplicates(docs).filter(~F.col("representative")).select(F.col("doc_id").alias("_id"), F.col("text_fp").alias("_fp")).distinct()
+    """One document of each group of near duplicates, once.
+
+    Texts without words have no shingles: of equal ones that aren't empty the smallest identifier stays. Empty and null
+    texts are copies of nothing and stay. Of rows alike in identifier and text one stays, the smallest as JSON.
+    """
+    judged = cut(near_duplicates(docs).select("doc_id", "text_fp", "representative"), "judged")
+    stays = judged.filter("representative").groupBy("doc_id", "text_fp").agg(F.count(F.lit(1)).alias("n"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
+    equal = stays.filter(F.col("text_fp") != F.xxhash64(F.lit(""))).groupBy("text_fp").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("ids"))
+    copies = stays.join(equal.filter("ids > 1"), "text_fp").filter(~F.col("doc_id").eqNullSafe(F.col("first.doc_id")))
+    keys = [F.col("doc_id").alias("_id"), F.col("text_fp").alias("_fp")]
+    gone = cut(judged.filter(~F.col("representative")).select(*keys).union(copies.select(*keys)).distinct(), "gone")
+    repeated = cut(stays.filter("n > 1").select(*keys), "repeated")
+
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     fp = F.xxhash64(F.coalesce("doc.text", F.lit("")))
-    rest = whole.join(gone.hint("shuffle_hash"), F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (fp == F.col("_fp")), "left_anti")
-    return rest.select("doc.*")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (fp == F.col("_fp"))
+    rest = whole.join(gone.hint("shuffle_hash"), same, "left_anti")
+    if repeated.isEmpty():
+        return rest.select("doc.*")
+    once = rest.join(repeated, same).groupBy("_id", "_fp").agg(F.min_by("doc", F.to_json("doc")).alias("doc")).select("doc")
+    return rest.join(repeated, same, "left_anti").union(once).select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
