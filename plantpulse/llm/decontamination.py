@@ -40,7 +40,7 @@ def bit(h: np.ndarray) -> np.ndarray:
 
 def placed(prefix: np.ndarray, offset: int, window: np.ndarray) -> np.ndarray:
     """One hash of a necessary word, its place and its window: equal for a text's words and an item's."""
-    return mixed(prefix * POWERS[3] + window + np.uint64(offset + 1) * POWERS[5])
+    return mixed(prefix * POWERS[3:4] + window + POWERS[5 + offset])
 
 
 def filter_of(hashes: DataFrame, column: str) -> np.ndarray:

@@ -91,12 +91,22 @@ def test_pipeline(spark, con, texts):
 def test_stages_keep_clashing_columns_and_odd_rows(spark):
     data = [(1, "t", None, "_id", 5, 2), (1, "t", None, "_id", 5, 2), (None, None, "en", None, None, 3), (2, "", "en", "s", 0, 4)]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, _fp string, n_chars long, _id int")
-    for _, stage in corpus_pipeline.STAGES:
+    for name, stage in corpus_pipeline.STAGES:
         frame = stage(spark, docs, SF)
-        assert frame.count() == 4
+        # of the two rows alike in identifier and text, near duplicates keep one
+        assert frame.count() == (3 if name == "ngram_jaccard_join" else 4)
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_near_duplicates_keep_one_row(spark):
+    """Rows alike in identifier and text, copies without words, and empty texts."""
+    data = [(3, "a b c", "x"), (3, "a b c", "w"), (5, "a, b C", "x"), (7, "--", "x"), (6, "--", "z"), (6, "--", "y"), (None, "--", "x"), (8, "!", "x"), (9, "", "x"), (4, None, "x"), (4, "", "x")]
+    docs = spark.createDataFrame([{"doc_id": i, "text": t, "tag": {"k": g}} for i, t, g in data], "doc_id long, text string, tag map<string,string>")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "", r.tag["k"]) for r in kept.collect()) == [(3, "a b c", "w"), (4, "", "x"), (6, "--", "y"), (8, "!", "x"), (9, "", "x")]
+
+
 def test_whitening_against_numpy(spark, con):
     data = con.execute(f"SELECT vec_id, embedding FROM '{SF}/embeddings.parquet' ORDER BY vec_id").fetchall()
     got, want = test_whitening.judged(QUERIES["op12_embedding_whitening"](spark, SF), [v for _, v in data])
